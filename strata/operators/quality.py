@@ -28,15 +28,15 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
 
 def constraint_report(pks: dict[str, tuple[DataFrame, list[str]]],
                       fks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """One row per constraint: (constraint, kind, violations)."""
+    """One row per constraint: (check_name, kind, violations)."""
     rows = []
     for name, (df, cols) in pks.items():
         rows.append(pk_violations(df, cols).agg(F.count(F.lit(1)).alias("violations"))
-                    .select(F.lit(name).alias("constraint"), F.lit("primary_key").alias("kind"),
+                    .select(F.lit(name).alias("check_name"), F.lit("primary_key").alias("kind"),
                             "violations"))
     for name, (child, fk, parent, pk) in fks.items():
         rows.append(fk_orphans(child, fk, parent, pk).agg(F.count(F.lit(1)).alias("violations"))
-                    .select(F.lit(name).alias("constraint"), F.lit("foreign_key").alias("kind"),
+                    .select(F.lit(name).alias("check_name"), F.lit("foreign_key").alias("kind"),
                             "violations"))
     return reduce(DataFrame.unionAll, rows)
 
@@ -49,6 +49,6 @@ def assert_constraints(report: DataFrame) -> list:
     rows = report.collect()
     bad = [r for r in rows if r["violations"]]
     if bad:
-        detail = ", ".join(f"{r['constraint']}={r['violations']}" for r in bad)
+        detail = ", ".join(f"{r['check_name']}={r['violations']}" for r in bad)
         raise ConstraintViolation(f"constraint check failed: {detail}")
     return rows
