@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import functions as S
 from ..operators import (append_missing, constraint_report, dense_surrogate, keep_first,
                          latest_non_null, lookup_join, role_playing_join, stack_columns)
-from .silver import GOAL_ORDER
+from .silver import goal_order
 
 
 def build_dim_edition(editions: DataFrame) -> DataFrame:
@@ -129,10 +129,8 @@ def build_fait_but(goals: DataFrame, dim_joueur: DataFrame, dim_equipe: DataFram
         F.coalesce(F.col("is_own_goal"), F.lit(False)).alias("est_csc"),
         "source_ordinal", "position",
     )
-    order = [F.col("id_match").asc_nulls_last(), F.col("minute_absolue").asc_nulls_last(),
-             F.col("source_ordinal").asc(), F.col("position").asc()]
-    assert len(order) == len(GOAL_ORDER)
-    return dense_surrogate(f, order, "id_but").drop("source_ordinal", "position")
+    return dense_surrogate(f, goal_order("id_match", "minute_absolue"), "id_but") \
+        .drop("source_ordinal", "position")
 
 
 def gold_constraints(t: dict[str, DataFrame]) -> DataFrame:
