@@ -50,9 +50,18 @@ class NoBronzeInput(FileNotFoundError):
     pass
 
 
-def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date: str) -> DataFrame:
-    """Land every raw CSV under ``bronze_root``; returns (key, size_bytes, source)."""
-    return bronze.land(spark, raw_root, bronze_root, ingest_date)
+def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date: str,
+               write_manifest: bool = True) -> DataFrame:
+    """Land every raw CSV under ``bronze_root``; returns (key, size_bytes, source).
+
+    The manifest (object count, total bytes, object list) goes to
+    ``_manifests/ingest_date=D``.
+    """
+    uploads = bronze.land(spark, raw_root, bronze_root, ingest_date)
+    if write_manifest:
+        (bronze.upload_manifest(uploads).coalesce(1).write.mode("overwrite")
+            .json(f"{bronze_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"))
+    return uploads
 
 
 def resolve_inputs(spark: SparkSession, bronze_root: str) -> dict:

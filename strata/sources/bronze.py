@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import local_path
+from ..session import ensure_checkpoint_dir, local_path
 
 # Fixed value: prefix for files found directly under the raw root.
 LOOSE_FILE_PREFIX = "raw_divers"
@@ -95,7 +95,18 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date: str,
     n = max(1, min(plan.count(), spark.sparkContext.defaultParallelism))
     copied = plan.repartition(n).select("path", "key").mapInPandas(
         _copy_partition(bronze_root), "key string")
-    return plan.join(copied, "key").select("key", "size_bytes", "source")
+    # Eager and reliable: the copy job runs exactly once here, and the upload
+    # list survives executor loss without re-running the copies.
+    ensure_checkpoint_dir(spark)
+    return plan.join(copied, "key").select("key", "size_bytes", "source").checkpoint(eager=True)
+
+
+def upload_manifest(uploads: DataFrame) -> DataFrame:
+    """Ingestion manifest: object count, total bytes and the object list."""
+    return uploads.agg(
+        F.count(F.lit(1)).alias("object_count"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"),
+        F.collect_list(F.struct("key", "size_bytes", "source")).alias("objects"))
 
 
 def read_json_document(spark: SparkSession, path: str) -> DataFrame:

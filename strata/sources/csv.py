@@ -104,7 +104,7 @@ def read_multiheader_csv(spark: SparkSession, path: str, n_index: int,
                       [F.col(n).eqNullSafe(F.lit(v).cast("string")) for n, v in zip(names, cells)])
         is_header = cond if is_header is None else (is_header | cond)
     data = null_tokens(raw.where(~is_header))
-    return infer_types(data, names[:n_index])
+    return infer_types(data)
 
 
 def infer_types(df: DataFrame, keep_string: list[str] = ()) -> DataFrame:
