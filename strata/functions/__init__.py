@@ -3,7 +3,8 @@
 from .keys import row_key  # noqa: F401
 from .numeric import (both_present, indicator, round_half_even, sum_or_zero,  # noqa: F401
                       to_double, to_long)
-from .parse import (local_timestamp, norm_time, parse_goal_cell, parse_kickoff,  # noqa: F401
+from .parse import (goal_chunks, local_timestamp, norm_time, parse_goal_cell, parse_goal_chunk,
+                    parse_kickoff,  # noqa: F401
                     parse_minute, period_of_minute, snapshot_date_from_name,
                     split_score, to_date_coerce)
 from .text import (canonical_label, canonicalize_with_table, collapse_ws,  # noqa: F401

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c, strip_ws
+from .text import _WS, _c, strip_ws
 
 # Labels of the match period, by base minute (<=45, <=90, later).
 PERIOD_FIRST_HALF = "1re mi-temps"
@@ -39,7 +39,7 @@ def parse_kickoff(c) -> tuple[Column, Column]:
 
     The pattern is matched at the start of the text only.
     """
-    pat = r"^(?U)\s*(\d{1,2}:\d{2})(?:\s*\((\d{1,2}:\d{2})\))?"
+    pat = rf"^{_WS}*(\d{{1,2}}:\d{{2}})(?:{_WS}*\((\d{{1,2}}:\d{{2}})\))?"
     local = F.nullif(F.regexp_extract(_c(c), pat, 1), F.lit(""))
     other = F.nullif(F.regexp_extract(_c(c), pat, 2), F.lit(""))
     return norm_time(local), norm_time(other)
@@ -60,17 +60,24 @@ def split_score(c) -> tuple[Column, Column]:
             F.when(ok, F.get(nums, 1).try_cast("bigint")))
 
 
+def _all_digits(t) -> Column:
+    # Non-empty and made of ASCII digits only (no regex).
+    return (F.length(t) > 0) & (F.translate(t, "0123456789", "") == "")
+
+
 def parse_minute(c) -> Column:
     """``45`` → (45, 0, 45); ``90+7`` → (90, 7, 97); else (null, null, null).
 
     Returns a struct ``<minute, stoppage_time, minute_absolute>`` of bigints.
+    The token must be digits, optionally ``+`` digits, once stripped.
     """
     tok = strip_ws(_c(c))
-    pat = r"^(\d+)(?:\+(\d+))?$"
-    ok = F.coalesce(tok.rlike(pat), F.lit(False))
-    base = F.when(ok, F.regexp_extract(tok, pat, 1).try_cast("bigint"))
-    added = F.when(ok, F.coalesce(F.nullif(F.regexp_extract(tok, pat, 2), F.lit(""))
-                                  .try_cast("bigint"), F.lit(0).cast("bigint")))
+    parts = F.split(tok, r"\+")
+    n = F.size(parts)
+    head, tail = F.get(parts, 0), F.get(parts, 1)
+    ok = F.coalesce(_all_digits(head) & ((n == 1) | ((n == 2) & _all_digits(tail))), F.lit(False))
+    base = F.when(ok, head.try_cast("bigint"))
+    added = F.when(ok, F.when(n == 2, tail.try_cast("bigint")).otherwise(F.lit(0).cast("bigint")))
     return F.struct(base.alias("minute"), added.alias("stoppage_time"),
                     (base + added).alias("minute_absolute"))
 
@@ -83,24 +90,38 @@ def period_of_minute(c) -> Column:
              .otherwise(F.lit(PERIOD_EXTRA_TIME)))
 
 
-def parse_goal_cell(c) -> Column:
-    """Packed cell → array<struct<scorer, minute_token>>.
+def goal_chunks(c) -> Column:
+    """Packed cell → array of raw chunks split on ``|`` (a null cell gives [])."""
+    return F.when(_c(c).isNotNull(), F.split(_c(c), r"\|")).otherwise(
+        F.array().cast("array<string>"))
+
 
-    Chunks are separated by ``|`` (trimmed, empty ones dropped); the name and
-    the minute are split at the last ``·``; the ``(P)`` marker is removed from
-    the name.  A null cell gives an empty array.
+def parse_goal_chunk(x) -> Column:
+    """One chunk ``name · minute`` → struct<scorer, minute_token>.
+
+    The name and the minute are split at the last ``·`` (no separator: the
+    whole chunk is the name and the minute is empty); ``(P)`` is removed.
     """
-    chunks = F.split(F.coalesce(_c(c), F.lit("")), r"\|")
-    chunks = F.filter(F.transform(chunks, strip_ws), lambda x: x != "")
+    x = _c(x)
+    has_sep = F.contains(x, F.lit(MINUTE_SEPARATOR))
+    minute = F.substring_index(x, MINUTE_SEPARATOR, -1)
+    name = F.when(has_sep, F.substring(x, F.lit(1), F.length(x) - F.length(minute) - F.lit(1))) \
+            .otherwise(x)
+    name = strip_ws(F.replace(name, F.lit(PENALTY_MARKER), F.lit("")))
+    return F.struct(name.alias("scorer"),
+                    F.when(has_sep, strip_ws(minute)).otherwise(F.lit("")).alias("minute_token"))
+
 
-    def one(x):
-        has_sep = F.contains(x, F.lit(MINUTE_SEPARATOR))
-        name = F.when(has_sep, F.regexp_extract(x, r"(?s)^(.*)·", 1)).otherwise(x)
-        minute = F.when(has_sep, F.regexp_extract(x, r"(?s)·([^·]*)$", 1)).otherwise(F.lit(""))
-        name = strip_ws(F.replace(name, F.lit(PENALTY_MARKER), F.lit("")))
-        return F.struct(name.alias("scorer"), strip_ws(minute).alias("minute_token"))
+def parse_goal_cell(c) -> Column:
+    """Packed cell → array<struct<scorer, minute_token>> (empty chunks dropped).
 
-    return F.transform(chunks, one)
+    Chunks are separated by ``|``; the name and the minute are split at the
+    last ``·``; the ``(P)`` marker is removed from the name.  A null cell
+    gives an empty array.  Table jobs explode :func:`goal_chunks` and apply
+    :func:`parse_goal_chunk` per row instead, which avoids lambda functions.
+    """
+    chunks = F.filter(F.transform(goal_chunks(c), strip_ws), lambda x: x != "")
+    return F.transform(chunks, parse_goal_chunk)
 
 
 def snapshot_date_from_name(c) -> Column:

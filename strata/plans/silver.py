@@ -89,9 +89,13 @@ def explode_goals(df: DataFrame, home: str, away: str, match_date: str, year: st
     """
     keyed = df.withColumn("match_key", S.row_key(match_date, home, away))
     keep = ["match_key", year, match_date, home, away]
-    long = unpivot_tagged(keyed, sources, "cell", keep)
-    goals = long.select(*keep, "source_ordinal", "side", "goal_type",
-                        F.posexplode(S.parse_goal_cell("cell")).alias("position", "g"))
+    long = unpivot_tagged(keyed, sources, "cell", keep).where(F.col("cell").isNotNull())
+    chunks = long.select(*keep, "source_ordinal", "side", "goal_type",
+                         F.posexplode(S.goal_chunks("cell")).alias("position", "raw_chunk"))
+    chunks = chunks.withColumn("chunk", S.strip_ws("raw_chunk"))
+    goals = chunks.where(F.col("chunk") != "").select(
+        *keep, "source_ordinal", "side", "goal_type", "position",
+        S.parse_goal_chunk("chunk").alias("g"))
     minute = S.parse_minute("g.minute_token")
     is_home = F.col("side") == "home"
     return goals.select(
