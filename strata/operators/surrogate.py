@@ -6,6 +6,9 @@ samples the key to pick balanced boundaries, so a hot leading value is split
 as long as the order is total), each partition is counted, and each row gets
 its partition's offset plus its position inside the partition.
 
+Inputs proven small by a bounded ``limit`` count skip all of this and use one
+ordered window (bounded single task).
+
 The partition a row lands in depends on the sampled boundaries, so the tagged
 rows are written once with a reliable ``checkpoint()`` (the session's shared
 ``spark.checkpoint.dir``): counts and positions then come from the same
@@ -26,16 +29,31 @@ _POS = "__strata_pos"
 _OFF = "__strata_off"
 
 
+# Inputs proven to hold at most this many rows are numbered by one ordered
+# window: a single task, but its size is bounded by the check itself.
+SMALL_INPUT_ROWS = 100_000
+
+
 def dense_surrogate(df: DataFrame, order_by: list, id_col: str,
-                    first: bool = True) -> DataFrame:
+                    first: bool = True, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """Add ``id_col`` = 1..n following ``order_by`` (which should be total).
 
     ``order_by`` takes column names or Column sort expressions
     (``F.col("x").desc_nulls_last()``); plain names sort ascending with nulls
     last, the pandas default.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = [F.col(k).asc_nulls_last() if isinstance(k, str) else k for k in order_by]
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        out = df.withColumn(id_col, F.row_number().over(Window.orderBy(*keys)).cast("int"))
+    else:
+        out = _distributed_surrogate(df, keys, id_col)
+    if first:
+        out = out.select(id_col, *[c for c in out.columns if c != id_col])
+    return out
+
+
+def _distributed_surrogate(df: DataFrame, keys: list, id_col: str) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
     tagged = (df.orderBy(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_POS, F.monotonically_increasing_id()
@@ -45,16 +63,14 @@ def dense_surrogate(df: DataFrame, order_by: list, id_col: str,
     # One row per partition: the running sum over it is tiny by construction.
     offsets = counts.select(
         _PID, (F.sum("__n").over(Window.orderBy(_PID)) - F.col("__n")).alias(_OFF))
-    out = (tagged.join(F.broadcast(offsets), _PID)
-                 .withColumn(id_col, (F.col(_OFF) + F.col(_POS) + 1).cast("int"))
-                 .drop(_PID, _POS, _OFF))
-    if first:
-        out = out.select(id_col, *[c for c in out.columns if c != id_col])
-    return out
+    return (tagged.join(F.broadcast(offsets), _PID)
+                  .withColumn(id_col, (F.col(_OFF) + F.col(_POS) + 1).cast("int"))
+                  .drop(_PID, _POS, _OFF))
 
 
-def sequential_rank(df: DataFrame, measure: str, tie_break: list, rank_col: str) -> DataFrame:
+def sequential_rank(df: DataFrame, measure: str, tie_break: list, rank_col: str,
+                    small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """Row-number rank by ``measure`` descending; ties ordered by ``tie_break``."""
     order = [F.col(measure).desc_nulls_last()] + [
         F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie_break]
-    return dense_surrogate(df, order, rank_col)
+    return dense_surrogate(df, order, rank_col, small_rows=small_rows)

@@ -870,17 +870,27 @@ def q_role_goals(spark, sf_dir):
 
 def served(spark: SparkSession, sf_dir: str, names: list[str]) -> ServedCatalog:
     """A served catalog over the trade model, holding only the listed views."""
-    def teams(s):
-        return dim_nation(s, sf_dir)
-
+    built: dict[str, DataFrame] = {}
+
+    def once(name, make):
+        def get(s):
+            if name not in built:
+                built[name] = make(s)
+            return built[name]
+        return get
+
+    teams = once("teams", lambda s: dim_nation(s, sf_dir))
+    years = once("years", lambda s: dim_year(s, sf_dir))
+    fact = once("fact", lambda s: trade_fact(s, sf_dir, teams=teams(s), years=years(s)))
     builders = {
         "dim_equipe": teams,
-        "dim_edition": lambda s: dim_year(s, sf_dir),
+        "dim_edition": years,
         "dim_joueur": lambda s: dim_supplier(s, sf_dir).drop("s_suppkey"),
-        "fait_match": lambda s: trade_fact(s, sf_dir),
+        "fait_match": fact,
         "mart_classement_buteurs": lambda s: supplier_ranking(s, sf_dir),
-        "mart_stats_equipe": lambda s: team_record(s, sf_dir),
-        "mart_stats_edition": lambda s: edition_stats(s, sf_dir),
+        "mart_stats_equipe": lambda s: marts.team_record(fact(s), teams(s)),
+        "mart_stats_edition": lambda s: marts.edition_stats(fact(s), years(s), match_id="l_orderkey",
+                                                            label_cols=("annee",)),
     }
     return ServedCatalog(spark, {n: builders[n] for n in names})
 

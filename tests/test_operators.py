@@ -8,9 +8,10 @@ from strata.operators import (append_missing, assert_constraints, ConstraintViol
                               pk_violations, role_union, sequential_rank, stack_columns, unpivot_tagged)
 
 
-def test_dense_surrogate_is_dense_and_ordered(spark):
+@pytest.mark.parametrize("small_rows", [0, 100_000])
+def test_dense_surrogate_is_dense_and_ordered(spark, small_rows):
     df = spark.range(0, 5000).select(F.md5(F.col("id").cast("string")).alias("h"), "id").repartition(7)
-    out = dense_surrogate(df, ["h"], "k").collect()
+    out = dense_surrogate(df, ["h"], "k", small_rows=small_rows).collect()
     ks = sorted(r.k for r in out)
     assert ks == list(range(1, 5001))
     by_k = [r.h for r in sorted(out, key=lambda r: r.k)]
@@ -23,7 +24,7 @@ def test_dense_surrogate_independent_of_shuffle_partitions(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
         df = spark.range(0, 2000).select((F.col("id") % 37).alias("g"), "id")
-        got = {(r.g, r.id): r.k for r in dense_surrogate(df, ["g", "id"], "k").collect()}
+        got = {(r.g, r.id): r.k for r in dense_surrogate(df, ["g", "id"], "k", small_rows=0).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     expected = {key: i + 1 for i, key in enumerate(sorted(got))}
@@ -33,19 +34,21 @@ def test_dense_surrogate_independent_of_shuffle_partitions(spark, parts):
 def test_dense_surrogate_with_hot_leading_value(spark):
     # a third of the rows share the leading key; the full key keeps them splittable
     df = spark.range(0, 3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("g"), "id")
-    got = sorted((r.g, r.id, r.k) for r in dense_surrogate(df, ["g", "id"], "k").collect())
+    got = sorted((r.g, r.id, r.k) for r in dense_surrogate(df, ["g", "id"], "k", small_rows=0).collect())
     assert [k for _, _, k in got] == list(range(1, 3001))
 
 
-def test_sequential_rank_breaks_ties_by_id(spark):
+@pytest.mark.parametrize("small_rows", [0, 10])
+def test_sequential_rank_breaks_ties_by_id(spark, small_rows):
     df = spark.createDataFrame([(1, 5), (2, 7), (3, 5), (4, 9)], "id int, n int")
-    got = {r.id: r.rang for r in sequential_rank(df, "n", ["id"], "rang").collect()}
+    got = {r.id: r.rang for r in sequential_rank(df, "n", ["id"], "rang", small_rows).collect()}
     assert got == {4: 1, 2: 2, 1: 3, 3: 4}
 
 
-def test_nulls_sort_last(spark):
+@pytest.mark.parametrize("small_rows", [0, 10])
+def test_nulls_sort_last(spark, small_rows):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "x string")
-    got = {r.x: r.k for r in dense_surrogate(df, ["x"], "k").collect()}
+    got = {r.x: r.k for r in dense_surrogate(df, ["x"], "k", small_rows=small_rows).collect()}
     assert got == {"a": 1, "b": 2, None: 3}
 
 
@@ -99,3 +102,11 @@ def test_key_checks(spark):
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10), 10)
     assert not fits_broadcast(spark.range(11), 10)
+
+
+def test_distributed_path_plan_has_no_single_partition_sort(spark):
+    df = spark.range(0, 3000).select(F.md5(F.col("id").cast("string")).alias("h"))
+    out = dense_surrogate(df, ["h"], "k", small_rows=0)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in p or "BroadcastHashJoin" in p
+    assert sorted(r.k for r in out.collect()) == list(range(1, 3001))
