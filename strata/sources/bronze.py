@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +24,21 @@ def discover(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     ``binaryFile`` with only ``path`` and ``length`` selected lists files
     without reading their content.  An empty result is an error.
     """
-    base = "file:" + os.path.abspath(root) if local_path(root) else root.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
                   .option("pathGlobFilter", glob).load(root)
                   .select("path", "length"))
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + _strip_scheme(base).lstrip("/") + "/?", "")
-    out = files.select("path", rel.alias("relpath"), F.col("length").alias("size_bytes"))
+    out = relative_paths(files, root)
     if out.limit(1).count() == 0:
         raise NoRawFiles(f"no {glob} file under {root}")
     return out
 
 
-def _strip_scheme(p: str) -> str:
-    return p.split(":", 1)[1] if p.startswith("file:") else p
+def relative_paths(files: DataFrame, root: str) -> DataFrame:
+    """(path, length) listing → path, path relative to ``root``, size_bytes."""
+    base = os.path.abspath(root) if local_path(root) else root.rstrip("/")
+    base = base.split(":", 1)[1] if base.startswith("file:") else base
+    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + re.escape(base.lstrip("/")) + "/?", "")
+    return files.select("path", rel.alias("relpath"), F.col("length").alias("size_bytes"))
 
 
 def landing_plan(files: DataFrame, ingest_date: str) -> DataFrame:
@@ -91,12 +94,19 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date: str,
     a rerun for the same date overwrites the same keys.  The result lists key,
     size_bytes and source per file.
     """
-    plan = landing_plan(discover(spark, raw_root, glob), ingest_date)
+    return copy_files(landing_plan(discover(spark, raw_root, glob), ingest_date), bronze_root)
+
+
+def copy_files(plan: DataFrame, bronze_root: str) -> DataFrame:
+    """Run the copies of a landing plan; returns (key, size_bytes, source).
+
+    Eager and reliable: the copy job runs exactly once here, and the upload
+    list survives executor loss without re-running the copies.
+    """
+    spark = plan.sparkSession
     n = max(1, min(plan.count(), spark.sparkContext.defaultParallelism))
     copied = plan.repartition(n).select("path", "key").mapInPandas(
         _copy_partition(bronze_root), "key string")
-    # Eager and reliable: the copy job runs exactly once here, and the upload
-    # list survives executor loss without re-running the copies.
     ensure_checkpoint_dir(spark)
     return plan.join(copied, "key").select("key", "size_bytes", "source").checkpoint(eager=True)
 
