@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -36,13 +37,19 @@ SMALL_INPUT_ROWS = 100_000
 
 def dense_surrogate(df: DataFrame, order_by: list, id_col: str,
                     first: bool = True, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
-    """Add ``id_col`` = 1..n following ``order_by`` (which should be total).
+    """Add ``id_col`` = 1..n following ``order_by``.
 
     ``order_by`` takes column names or Column sort expressions
     (``F.col("x").desc_nulls_last()``); plain names sort ascending with nulls
-    last, the pandas default.
+    last, the pandas default.  ``small_rows`` enables the bounded one-window
+    path after a ``limit`` count; pass 0 for fact-sized inputs, where that
+    count would be an extra pass.
     """
     keys = [F.col(k).asc_nulls_last() if isinstance(k, str) else k for k in order_by]
+    # Every orderable column closes the order: rows still tied are identical,
+    # so a recomputation can never hand different ids to different rows.
+    keys += [F.col(f.name).asc_nulls_last() for f in df.schema.fields
+             if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     if small_rows and df.limit(small_rows + 1).count() <= small_rows:
         out = df.withColumn(id_col, F.row_number().over(Window.orderBy(*keys)).cast("int"))
     else:

@@ -129,7 +129,7 @@ def build_fait_but(goals: DataFrame, dim_joueur: DataFrame, dim_equipe: DataFram
         F.coalesce(F.col("is_own_goal"), F.lit(False)).alias("est_csc"),
         "source_ordinal", "position",
     )
-    return dense_surrogate(f, goal_order("id_match", "minute_absolue"), "id_but") \
+    return dense_surrogate(f, goal_order("id_match", "minute_absolue"), "id_but", small_rows=0) \
         .drop("source_ordinal", "position")
 
 

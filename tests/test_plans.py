@@ -16,12 +16,31 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf01):
     assert re.search(r"ReadSchema: struct<l_suppkey:bigint,l_returnflag:string>", p)
 
 
-def test_team_record_broadcasts_dimensions_and_shuffles_once_per_key(spark, sf01):
+def single_partition_inputs(p):
+    """Scanned tables below each single-partition exchange of a plan string."""
+    lines = p.splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            scans = []
+            for below in lines[i + 1:]:
+                if len(below) - len(below.lstrip(" :+-")) <= depth:
+                    break
+                m = re.search(r"/([a-z_]+)\.parquet\]", below)
+                if m:
+                    scans.append(m.group(1))
+            found.append(scans)
+    return found
+
+
+def test_team_record_broadcasts_dimensions_and_no_fact_in_one_task(spark, sf01):
     df = C.team_record(spark, sf01)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in p
-    # The only single-partition exchanges allowed are over per-partition counts.
-    assert "SinglePartition" not in p
+    # Single-partition exchanges may only feed size-checked dimensions.
+    for scans in single_partition_inputs(p):
+        assert not {"lineitem", "orders", "events"} & set(scans), scans
 
 
 def test_dense_keys_do_not_sort_in_one_task(spark, sf01):
