@@ -7,6 +7,6 @@ from .parse import (goal_chunks, local_timestamp, norm_time, parse_goal_cell, pa
                     parse_kickoff,  # noqa: F401
                     parse_minute, period_of_minute, snapshot_date_from_name,
                     split_score, to_date_coerce)
-from .text import (canonical_label, canonicalize_with_table, collapse_ws,  # noqa: F401
+from .text import (canonical_label, canonicalize_with_table, collapse_ws, map_label,  # noqa: F401
                    empty_to_null, flag_and_strip, null_to_empty, rsplit_last,
                    snake_case, snake_name, strip_ws)

@@ -25,13 +25,22 @@ PENALTY_MARKER = "(P)"
 def to_date_coerce(c, formats=("yyyy-MM-dd",)) -> Column:
     """Text to DATE trying each format in turn; unparsable gives null."""
     s = strip_ws(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    parsed = F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    if tuple(formats) == ("yyyy-MM-dd",):
+        # A failed parse is costly: attempt only text shaped like the format.
+        shaped = ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+                  & (F.translate(s, "0123456789-", "") == ""))
+        return F.when(shaped, parsed)
+    return parsed
 
 
 def norm_time(c) -> Column:
     """``9:00`` → ``09:00``; anything that is not a time of day gives null."""
     s = strip_ws(_c(c))
-    return F.date_format(F.try_to_timestamp(s, F.lit("H:mm")), "HH:mm")
+    # Attempt the parse only on text shaped like ``H:mm`` / ``HH:mm``.
+    shaped = (F.length(s).between(4, 5) & (F.substring(s, -3, 1) == ":")
+              & (F.translate(s, "0123456789:", "") == ""))
+    return F.when(shaped, F.date_format(F.try_to_timestamp(s, F.lit("H:mm")), "HH:mm"))
 
 
 def parse_kickoff(c) -> tuple[Column, Column]:

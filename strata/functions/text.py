@@ -63,6 +63,14 @@ def canonical_label(c, mapping: dict[str, str] | None = None) -> Column:
     return F.coalesce(F.try_element_at(lookup, norm), norm)
 
 
+def map_label(c, mapping: dict[str, str]) -> Column:
+    """Exact-match replacement through ``mapping`` of an already normalised label."""
+    if not mapping:
+        return _c(c)
+    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return F.coalesce(F.try_element_at(lookup, _c(c)), _c(c))
+
+
 def canonicalize_with_table(df, column: str, table, key: str = "label",
                             value: str = "canonical"):
     """Canonicalise ``column`` of ``df`` through a mapping DataFrame.

@@ -470,6 +470,69 @@ def goal_cells(spark, sf_dir):
     return goals.select(*silver.GOAL_COLUMNS)
 
 
+@query("silver_matches", _with(_SQL_TRADE, """
+t AS (
+  SELECT year, match_date, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_discount, l_tax,
+         o_totalprice,
+         away_team AS away_raw,
+         CASE replace(home_team, '_', ' ') WHEN 'NATION 1' THEN 'Nation One' WHEN 'NATION 7' THEN 'Nation Seven'
+              WHEN 'NATION 13' THEN 'Nation Thirteen' ELSE replace(home_team, '_', ' ') END AS home_team,
+         CASE replace(away_team, '_', ' ') WHEN 'NATION 1' THEN 'Nation One' WHEN 'NATION 7' THEN 'Nation Seven'
+              WHEN 'NATION 13' THEN 'Nation Thirteen' ELSE replace(away_team, '_', ' ') END AS away_team,
+         home_score, away_score
+  FROM trade
+)
+SELECT substr(md5(concat_ws('|', coalesce(CAST(match_date AS VARCHAR), 'None'), coalesce(home_team, 'None'),
+                             coalesce(away_team, 'None'))), 1, 12) AS match_key,
+       CAST(year AS BIGINT) AS year, match_date, 'Round ' || CAST(l_linenumber AS VARCHAR) AS round,
+       home_team, away_team, CAST(home_score AS BIGINT) AS home_score,
+       CAST(CASE WHEN l_linestatus = 'O' THEN NULL ELSE away_score END AS BIGINT) AS away_score,
+       l_discount * 10 AS home_xg, CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_tax * 10 END AS away_xg,
+       CAST(CASE WHEN l_returnflag = 'R' THEN l_linenumber END AS BIGINT) AS penalty_home,
+       CAST(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN CAST(round(l_tax * 100) AS INTEGER) END AS BIGINT)
+         AS penalty_away,
+       l_returnflag = 'R' AND l_linestatus = 'F' AS went_to_penalties,
+       CAST(floor(o_totalprice) AS BIGINT) AS attendance,
+       CASE WHEN l_linenumber > 3 THEN 'Stadium ' || CAST(l_suppkey AS VARCHAR) || ', Annex'
+            ELSE 'Stadium ' || CAST(l_suppkey AS VARCHAR) END AS venue_name,
+       CASE WHEN l_linenumber > 3 THEN away_raw END AS venue_city,
+       home_team AS host, 'Ref ' || CAST(l_partkey AS VARCHAR) AS referee
+FROM t
+"""))
+def silver_matches(spark, sf_dir):
+    """The whole matches table job over all-string raw rows built from the trade lines."""
+    t = trade_lines(spark, sf_dir)
+    pad = " \t "
+
+    def txt(c):
+        return c.cast("string")
+
+    ln = F.col("l_linenumber")
+    home = F.concat(F.lit(pad), F.replace("home_team", F.lit("_"), F.lit(" ")), F.lit(" "))
+    away = F.concat(F.replace("away_team", F.lit("_"), F.lit("  ")), F.lit(pad))
+    venue = F.when(ln > 3, F.concat(F.lit(" Stadium "), txt(F.col("l_suppkey")), F.lit(", Annex, "),
+                                    F.col("away_team"), F.lit(" ")))
+    venue = venue.otherwise(F.concat(F.lit("Stadium "), txt(F.col("l_suppkey"))))
+    raw = t.select(
+        txt(F.col("year")).alias("Year"),
+        F.date_format("match_date", "yyyy-MM-dd").alias("Date"),
+        F.concat(F.lit(" Round "), txt(ln)).alias("Round"),
+        home.alias("home_team"), away.alias("away_team"),
+        F.concat(txt(F.col("home_score")), F.lit(".0")).alias("home_score"),
+        F.when(F.col("l_linestatus") != "O", txt(F.col("away_score"))).alias("away_score"),
+        txt(F.col("l_discount") * 10).alias("home_xg"),
+        F.when(F.col("l_returnflag") != "A", txt(F.col("l_tax") * 10)).otherwise(F.lit("n/a")).alias("away_xg"),
+        F.when(F.col("l_returnflag") == "R", txt(ln)).alias("home_penalty"),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
+               txt(F.round(F.col("l_tax") * 100).cast("int"))).alias("away_penalty"),
+        txt(F.floor("o_totalprice")).alias("Attendance"),
+        venue.alias("Venue"),
+        home.alias("Host"),
+        F.concat(F.lit(" Ref "), txt(F.col("l_partkey")), F.lit("\u00a0")).alias("Referee"),
+    )
+    return silver.transform_matches(raw, NATION_LABELS)
+
+
 @query("period_bucket", """
 SELECT l_orderkey, l_linenumber, l_partkey,
        CASE WHEN l_returnflag = 'A' THEN NULL ELSE CAST(l_quantity AS INTEGER) * 2 END AS minute,

@@ -49,6 +49,10 @@ def team(c, mapping=None):
     return S.canonical_label(c, TEAM_NAME_MAP if mapping is None else mapping)
 
 
+def _labels(mapping):
+    return TEAM_NAME_MAP if mapping is None else mapping
+
+
 def transform_matches(df: DataFrame, mapping=None) -> DataFrame:
     """One typed row per match, keyed by the md5 content key."""
     venue_name, venue_city = S.rsplit_last(S.strip_ws("Venue"), ",")
@@ -130,11 +134,13 @@ def goal_order(match_key: str = "match_key", minute_absolute: str = "minute_abso
 
 def transform_goals(df: DataFrame, mapping=None, keep_order_columns: bool = False) -> DataFrame:
     """One row per goal from the packed cells of the raw match rows."""
-    typed = df.select(
+    m = _labels(mapping)
+    norm = df.select("*", S.collapse_ws("home_team").alias("__hn"), S.collapse_ws("away_team").alias("__an"))
+    typed = norm.select(
         "*",
         S.to_date_coerce("Date").alias("__date"),
-        team("home_team", mapping).alias("__home"),
-        team("away_team", mapping).alias("__away"),
+        S.map_label("__hn", m).alias("__home"),
+        S.map_label("__an", m).alias("__away"),
         S.to_long("Year").alias("__year"),
     )
     goals = explode_goals(typed, "__home", "__away", "__date", "__year")
