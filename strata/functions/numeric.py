@@ -40,9 +40,10 @@ def to_long(c, strict: bool = False) -> Column:
     exact = F.when(_digits_only(F.ltrim(s, F.lit("+-"))), s.try_cast("bigint"))
     # "64.0", "-3.00", "17.": integer part plus a fraction of zeros, by text.
     head = F.substring_index(s, ".", 1)
-    dotted = F.when((F.instr(s, ".") > 0) & _digits_only(F.ltrim(head, F.lit("+-")))
-                    & (F.translate(F.substring_index(s, ".", -1), "0", "") == ""),
-                    head.try_cast("bigint"))
+    tail = F.substring_index(s, ".", -1)
+    one_dot = (F.instr(s, ".") > 0) & (F.length(head) + F.length(tail) + 1 == F.length(s))
+    dotted = F.when(one_dot & _digits_only(F.ltrim(head, F.lit("+-")))
+                    & (F.translate(tail, "0", "") == ""), head.try_cast("bigint"))
     # Anything else that may be a number ("1e3", "12.5") goes through double.
     d = to_double(s)
     whole = F.when(d == F.floor(d), d.try_cast("bigint"))
