@@ -148,3 +148,26 @@ def test_reference_inputs_profile(spark, built):
     assert fifa.where(F.col("team") == "South Korea").count() == 2
     ts = M.read_silver(spark, str(base / "silver"), "team_stats")
     assert ts.count() == 96 and "per_90_minutes_g_plus_a_pk" in ts.columns
+
+
+def test_missing_sources_are_skipped(spark, tmp_path):
+    from fixtures import write_csv
+    raw = tmp_path / "raw"
+    write_csv(str(raw / "kaggle" / "world_cup.csv"),
+              ["Year", "Host", "Teams", "Champion", "Runner-Up", "TopScorrer", "Attendance", "AttendanceAvg",
+               "Matches"], [[2022, "Qatar", 32, "Argentina", "France", "Kylian Mbappé - 8", 3404252, 53191, 64]])
+    write_csv(str(raw / "kaggle" / "fifa_ranking_2022-10-06.csv"),
+              ["team", "team_code", "association", "rank", "previous_rank", "points", "previous_points"],
+              [["Brazil", "BRA", "CONMEBOL", 1, 1, 1841.3, 1837.56]])
+    M.run_bronze(spark, str(raw), str(tmp_path / "bronze"), "2026-06-01")
+    audit = {r.table_name for r in M.run_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"),
+                                                "2026-06-01").collect()}
+    assert audit == {"editions", "fifa_ranking"}
+
+
+def test_no_usable_bronze_input(spark, tmp_path):
+    from fixtures import write_csv
+    write_csv(str(tmp_path / "raw" / "kaggle" / "world_cup.csv"), ["Year"], [[2022]])
+    M.run_bronze(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"), "2026-06-01")
+    with pytest.raises(M.NoBronzeInput):
+        M.resolve_inputs(spark, str(tmp_path / "bronze"))
