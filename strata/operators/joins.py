@@ -15,14 +15,24 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def lookup_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when its size is proven small; else a shuffled join side."""
+def lookup_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, check: str = "count") -> DataFrame:
+    """The lookup side of a join, broadcast only behind a size check.
+
+    ``check="count"``: ``broadcast(dim)`` when a bounded count proves at most
+    ``max_rows`` rows, else a shuffled side; for scans and materialised
+    dimensions, where the count stops early.  ``check="adaptive"``: no hint;
+    for sides that are aggregates over large inputs, where a count would cost
+    a full extra pass.  AQE then measures the materialised shuffle output and
+    switches to a broadcast join only when it is below its threshold.
+    """
+    if check == "adaptive":
+        return dim
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return fact.join(lookup_side(dim, max_rows), on, how)
+                max_rows: int = MAX_BROADCAST_ROWS, check: str = "count") -> DataFrame:
+    return fact.join(lookup_side(dim, max_rows, check), on, how)
 
 
 def role_playing_join(fact: DataFrame, dim: DataFrame, dim_key: str, dim_label: str,

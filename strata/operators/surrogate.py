@@ -19,6 +19,7 @@ partition count, never by the data.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +52,12 @@ def dense_surrogate(df: DataFrame, order_by: list, id_col: str,
     keys += [F.col(f.name).asc_nulls_last() for f in df.schema.fields
              if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        out = df.withColumn(id_col, F.row_number().over(Window.orderBy(*keys)).cast("int"))
+        # Bounded by the check and kept after first use, so later uses of the
+        # dimension do not recompute its inputs (possibly a fact scan).  The
+        # numbering is deterministic, so a recomputation after a lost
+        # executor yields the same ids.
+        out = df.withColumn(id_col, F.row_number().over(Window.orderBy(*keys)).cast("int")) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
     else:
         out = _distributed_surrogate(df, keys, id_col)
     if first:

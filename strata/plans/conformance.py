@@ -671,7 +671,7 @@ def dim_latest_attr(spark, sf_dir):
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_value"))
     latest = latest_non_null(e, ["user_id"], ["last_type", "last_value"], ["ts", "event_id"])
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    out = lookup_join(c, latest, c["c_custkey"] == latest["user_id"], "left")
+    out = lookup_join(c, latest, c["c_custkey"] == latest["user_id"], "left", check="adaptive")
     return out.select("c_custkey", "c_name", "last_type", "last_value")
 
 

@@ -48,7 +48,7 @@ def build_dim_equipe(matches: DataFrame, goals: DataFrame, editions: DataFrame,
     ])
     latest = latest_non_null(ranking.where(F.col("team").isNotNull()), ["team"],
                              ["confederation", "team_code"], ["snapshot_date", "rank"])
-    dim = lookup_join(names, latest.withColumnRenamed("team", "pays"), "pays", "left")
+    dim = lookup_join(names, latest.withColumnRenamed("team", "pays"), "pays", "left", check="adaptive")
     dim = dim.select("pays", "confederation", F.col("team_code").alias("code_pays"))
     return dense_surrogate(dim, ["pays"], "id_equipe")
 

@@ -17,16 +17,24 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf01):
 
 
 def single_partition_inputs(p):
-    """Scanned tables below each single-partition exchange of a plan string."""
+    """Tables whose rows reach a single-partition exchange without passing an
+    aggregate (an aggregate bounds what the single task receives)."""
     lines = p.splitlines()
     found = []
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             depth = len(line) - len(line.lstrip(" :+-"))
-            scans = []
+            scans, cut = [], None
             for below in lines[i + 1:]:
-                if len(below) - len(below.lstrip(" :+-")) <= depth:
+                d = len(below) - len(below.lstrip(" :+-"))
+                if d <= depth:
                     break
+                if cut is not None and d > cut:
+                    continue
+                cut = None
+                if "HashAggregate" in below or "InMemoryRelation" in below:
+                    cut = d
+                    continue
                 m = re.search(r"/([a-z_]+)\.parquet\]", below)
                 if m:
                     scans.append(m.group(1))
