@@ -19,7 +19,8 @@ _NUMBER_START = list("0123456789+-.iInN")
 
 
 def _digits_only(t) -> Column:
-    return (F.length(t) > 0) & (F.translate(t, "0123456789", "") == "")
+    # All characters in the set <=> trimming the set leaves nothing (byte scan).
+    return (F.length(t) > 0) & (F.btrim(t, F.lit("0123456789")) == "")
 
 
 def to_double(c) -> Column:
@@ -43,7 +44,7 @@ def to_long(c, strict: bool = False) -> Column:
     tail = F.substring_index(s, ".", -1)
     one_dot = (F.instr(s, ".") > 0) & (F.length(head) + F.length(tail) + 1 == F.length(s))
     dotted = F.when(one_dot & _digits_only(F.ltrim(head, F.lit("+-")))
-                    & (F.translate(tail, "0", "") == ""), head.try_cast("bigint"))
+                    & (F.btrim(tail, F.lit("0")) == ""), head.try_cast("bigint"))
     # Anything else that may be a number ("1e3", "12.5") goes through double.
     d = to_double(s)
     whole = F.when(d == F.floor(d), d.try_cast("bigint"))

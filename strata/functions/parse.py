@@ -29,7 +29,7 @@ def to_date_coerce(c, formats=("yyyy-MM-dd",)) -> Column:
     if tuple(formats) == ("yyyy-MM-dd",):
         # A failed parse is costly: attempt only text shaped like the format.
         shaped = ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
-                  & (F.translate(s, "0123456789-", "") == ""))
+                  & (F.btrim(s, F.lit("0123456789-")) == ""))
         return F.when(shaped, parsed)
     return parsed
 
@@ -39,7 +39,7 @@ def norm_time(c) -> Column:
     s = strip_ws(_c(c))
     # Attempt the parse only on text shaped like ``H:mm`` / ``HH:mm``.
     shaped = (F.length(s).between(4, 5) & (F.substring(s, -3, 1) == ":")
-              & (F.translate(s, "0123456789:", "") == ""))
+              & (F.btrim(s, F.lit("0123456789:")) == ""))
     return F.when(shaped, F.date_format(F.try_to_timestamp(s, F.lit("H:mm")), "HH:mm"))
 
 
@@ -70,8 +70,8 @@ def split_score(c) -> tuple[Column, Column]:
 
 
 def _all_digits(t) -> Column:
-    # Non-empty and made of ASCII digits only (no regex).
-    return (F.length(t) > 0) & (F.translate(t, "0123456789", "") == "")
+    # Non-empty and made of ASCII digits only (no regex, no per-character map).
+    return (F.length(t) > 0) & (F.btrim(t, F.lit("0123456789")) == "")
 
 
 def parse_minute(c) -> Column:

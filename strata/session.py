@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
     "spark.ui.enabled": "false",
+    # Dense keys and landings checkpoint reliably; remove those files once
+    # the DataFrames that use them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Wide projections of the table jobs fuse into generated methods above
     # HotSpot's 8 KB JIT limit; without this they run interpreted (2-3x slower).
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
