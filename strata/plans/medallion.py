@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark import StorageLevel
@@ -24,7 +23,7 @@ from pyspark.sql import types as T
 from ..operators import assert_constraints
 from ..sources import bronze
 from ..sources.csv import read_multiheader_csv, read_raw_csv, read_snapshots
-from ..sources.partitions import latest_per_file, read_latest
+from ..sources.partitions import read_latest
 from ..sources.sinks import audited_writes, manifest, write_table
 from . import gold, marts, silver
 from .serve import ServedCatalog
@@ -43,9 +42,6 @@ SOURCES = {
 RANKING_PREFIX = "raw_kaggle"
 RANKING_FILES = r"^fifa_ranking_.*\.csv$"
 
-_KEY = re.compile(r"/([^/]+)/ingest_date=(\d{4}-\d{2}-\d{2})/(.+)$")
-
-
 class NoBronzeInput(FileNotFoundError):
     pass
 
@@ -59,29 +55,35 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date
     """
     uploads = bronze.land(spark, raw_root, bronze_root, ingest_date)
     if write_manifest:
-        (bronze.upload_manifest(uploads).coalesce(1).write.mode("overwrite")
-            .json(f"{bronze_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"))
+        base = f"{bronze_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"
+        bronze.upload_manifest(uploads).coalesce(1).write.mode("overwrite").json(f"{base}/summary")
+        uploads.write.mode("overwrite").json(f"{base}/objects")
     return uploads
 
 
 def resolve_inputs(spark: SparkSession, bronze_root: str) -> dict:
     """Newest bronze copy of each wanted source; ranking snapshots per file.
 
-    The listing is metadata only (``binaryFile`` with path selected).
+    The listing is metadata only (``binaryFile`` with path selected); the
+    newest copy per source is chosen by an aggregation, so only the chosen
+    paths (one per source or ranking file) reach the driver.
     """
-    files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").load(bronze_root).select("path").collect()]
-    best: dict[str, tuple[str, str]] = {}
-    for f in files:
-        m = _KEY.search(f)
-        if not m:
-            continue
-        prefix, date, name = m.group(1), m.group(2), m.group(3).rsplit("/", 1)[-1]
-        logical = SOURCES.get((prefix, name))
-        if logical and (logical not in best or date > best[logical][0]):
-            best[logical] = (date, f)
-    out: dict = {k: v[1] for k, v in best.items()}
-    out["fifa_ranking"] = latest_per_file([f for f in files if f"/{RANKING_PREFIX}/" in f], RANKING_FILES)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                  .option("pathGlobFilter", "*.csv").load(bronze_root).select("path"))
+    pat = r"/([^/]+)/ingest_date=(\d{4}-\d{2}-\d{2})/(?:.*/)?([^/]+)$"
+    parsed = files.select("path", F.regexp_extract("path", pat, 1).alias("prefix"),
+                          F.regexp_extract("path", pat, 2).alias("date"),
+                          F.regexp_extract("path", pat, 3).alias("name")).where(F.col("date") != "")
+    registry = spark.createDataFrame([(p, n, logical) for (p, n), logical in SOURCES.items()],
+                                     "prefix string, name string, logical string")
+    wanted = parsed.join(F.broadcast(registry), ["prefix", "name"], "inner")
+    ranking = (parsed.where((F.col("prefix") == RANKING_PREFIX) & F.col("name").rlike(RANKING_FILES))
+                     .select("path", "date", F.concat(F.lit("fifa_ranking:"), F.col("name")).alias("logical")))
+    chosen = (wanted.select("path", "date", "logical").unionByName(ranking)
+                    .groupBy("logical").agg(F.max_by("path", "date").alias("path"))
+                    .collect())
+    out: dict = {r.logical: r.path for r in chosen if not r.logical.startswith("fifa_ranking:")}
+    out["fifa_ranking"] = sorted(r.path for r in chosen if r.logical.startswith("fifa_ranking:"))
     if not out.get("matches") and not out["fifa_ranking"]:
         raise NoBronzeInput(f"no usable bronze input under {bronze_root}")
     return out

@@ -112,11 +112,14 @@ def copy_files(plan: DataFrame, bronze_root: str) -> DataFrame:
 
 
 def upload_manifest(uploads: DataFrame) -> DataFrame:
-    """Ingestion manifest: object count, total bytes and the object list."""
+    """Ingestion manifest summary: object count and total bytes (one row).
+
+    The object list grows with the number of files, so it is not folded into
+    this row; it is the ``uploads`` dataset itself, written next to it.
+    """
     return uploads.agg(
         F.count(F.lit(1)).alias("object_count"),
-        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"),
-        F.collect_list(F.struct("key", "size_bytes", "source")).alias("objects"))
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"))
 
 
 def read_json_document(spark: SparkSession, path: str) -> DataFrame:
