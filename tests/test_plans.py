@@ -64,3 +64,22 @@ def test_share_uses_scalar_subquery_not_cross_join(spark, sf01):
     df = C.period_share(spark, sf01)
     p = plan(df)
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_first_and_last_per_key_combine_map_side(spark):
+    from pyspark.sql import functions as F
+    from strata.operators import keep_first, latest_non_null
+    # one key holds a third of the rows
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                      F.col("id").alias("o"), (F.col("id") * 2).alias("v"))
+    for out in (keep_first(df, ["k"], ["o"]), latest_non_null(df, ["k"], ["v"], ["o"])):
+        p = out._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"partial_(min|max)_by", p), p
+    first = {r.k: r.o for r in keep_first(df, ["k"], ["o"]).collect()}
+    assert first[0] == 0 and len(first) == 1 + 20000
+
+
+def test_role_views_read_the_fact_once(spark, sf01):
+    df = C.team_record(spark, sf01)
+    p = df._jdf.queryExecution().sparkPlan().toString()
+    assert p.count("lineitem.parquet") == 1
