@@ -118,8 +118,9 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, ingest_d
     """
     tables = silver_tables(spark, resolve_inputs(spark, bronze_root))
     audit = audited_writes(spark, tables, silver_root, ingest_date)
-    (manifest(audit).coalesce(1).write.mode("overwrite")
-        .json(f"{silver_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"))
+    base = f"{silver_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"
+    manifest(audit).coalesce(1).write.mode("overwrite").json(f"{base}/summary")
+    audit.write.mode("overwrite").json(f"{base}/tables")
     return audit
 
 

@@ -71,11 +71,13 @@ def audited_writes(spark: SparkSession, tables: dict[str, DataFrame], root: str,
 
 
 def manifest(audit: DataFrame) -> DataFrame:
-    """Manifest totals: table count, total rows, per-table entries."""
+    """Manifest totals (one row): table count and total rows.
+
+    The per-table entries are the audit rows themselves, written beside it.
+    """
     return audit.agg(
         F.count(F.lit(1)).alias("table_count"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"),
-        F.collect_list(F.struct(*audit.columns)).alias("tables"),
     )
 
 
