@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as S
-from ..operators import unpivot_tagged
+from ..operators import explode_with_position, unpivot_tagged
 
 # Canonical team labels (source label → canonical label).
 TEAM_NAME_MAP = {
@@ -94,8 +94,8 @@ def explode_goals(df: DataFrame, home: str, away: str, match_date: str, year: st
     keyed = df.withColumn("match_key", S.row_key(match_date, home, away))
     keep = ["match_key", year, match_date, home, away]
     long = unpivot_tagged(keyed, sources, "cell", keep).where(F.col("cell").isNotNull())
-    chunks = long.select(*keep, "source_ordinal", "side", "goal_type",
-                         F.posexplode(S.goal_chunks("cell")).alias("position", "raw_chunk"))
+    chunks = explode_with_position(long, S.goal_chunks("cell"),
+                                   [*keep, "source_ordinal", "side", "goal_type"], "position", "raw_chunk")
     chunks = chunks.withColumn("chunk", S.strip_ws("raw_chunk"))
     goals = chunks.where(F.col("chunk") != "").select(
         *keep, "source_ordinal", "side", "goal_type", "position",
