@@ -10,9 +10,22 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+# Decisions already taken in this application, keyed by the plan's semantic
+# hash and its input files: a rewritten table has new file names, so it is
+# checked again.
+_DECISIONS: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
+    if not files or key not in _DECISIONS:
+        decision = df.limit(max_rows + 1).count() <= max_rows
+        if not files:
+            return decision
+        _DECISIONS[key] = decision
+    return _DECISIONS[key]
 
 
 def lookup_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, check: str = "count") -> DataFrame:
