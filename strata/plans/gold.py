@@ -154,3 +154,13 @@ def gold_constraints(t: dict[str, DataFrame]) -> DataFrame:
         "fait_but.id_equipe": (fb, "id_equipe", t["dim_equipe"], "id_equipe"),
     }
     return constraint_report(pks, fks)
+
+
+def unranked_teams(dim_equipe: DataFrame) -> DataFrame:
+    """Team labels that found no ranking entry (no confederation, no code).
+
+    Such labels usually need an entry in the canonical-label mapping (for
+    example a joint host or an abbreviated name).
+    """
+    return (dim_equipe.where(F.col("confederation").isNull() & F.col("code_pays").isNull())
+                      .select("id_equipe", "pays"))

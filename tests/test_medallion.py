@@ -176,3 +176,12 @@ def test_no_usable_bronze_input(spark, tmp_path):
     M.run_bronze(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"), "2026-06-01")
     with pytest.raises(M.NoBronzeInput):
         M.resolve_inputs(spark, str(tmp_path / "bronze"))
+
+
+def test_unranked_team_report(spark, built):
+    from strata.plans.gold import unranked_teams
+    _, _, cat = built
+    labels = {r.pays for r in unranked_teams(cat.sql("SELECT * FROM dim_equipe")).collect()}
+    assert "Korea Republic, Japan" in labels          # a joint host is one label
+    if "France" in {r[0] for r in cat.run("SELECT pays FROM dim_equipe WHERE confederation IS NOT NULL")}:
+        assert "France" not in labels
