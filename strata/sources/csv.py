@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv as _csv
 import io
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -159,5 +158,3 @@ def write_multiheader_csv(df: DataFrame, path: str, groups: list[tuple[str, str]
          .sortWithinPartitions("bucket", "__ord")
          .drop("__ord").write.mode("overwrite").partitionBy("bucket").text(path))
 
-
-_SNAPSHOT = re.compile(r"(\d{4}-\d{2}-\d{2})")

@@ -33,17 +33,3 @@ def read_latest(spark: SparkSession, root: str, fmt: str = "parquet",
     if not dates:
         raise NoPartitionFound(f"no ingest_date partition under {root}")
     return df.where(F.col("ingest_date") == F.lit(dates[-1]).cast("date"))
-
-
-def latest_per_file(files: list[str], pattern: str) -> list[str]:
-    """Newest ``ingest_date`` copy of every file name matching ``pattern``."""
-    best: dict[str, tuple[str, str]] = {}
-    rx = re.compile(pattern)
-    for f in files:
-        m = _DATE_DIR.search(f)
-        name = f.rstrip("/").rsplit("/", 1)[-1]
-        if not m or not rx.search(name):
-            continue
-        if name not in best or m.group(1) > best[name][0]:
-            best[name] = (m.group(1), f)
-    return [best[k][1] for k in sorted(best)]

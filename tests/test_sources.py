@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fixtures import make_raw_tree
 from strata.sources import bronze
 from strata.sources.csv import (multiheader_names, read_multiheader_csv, read_raw_csv, read_snapshots)
-from strata.sources.partitions import NoPartitionFound, latest_per_file, read_latest
+from strata.sources.partitions import NoPartitionFound, read_latest
 from strata.sources.sinks import audited_writes, manifest, write_partitioned
 
 
@@ -85,14 +85,6 @@ def test_dynamic_overwrite_keeps_other_dates_and_latest(spark, tmp_path):
         read_latest(spark, root, as_of="2025-01-01")
 
 
-def test_latest_per_file():
-    files = ["s3://b/raw_kaggle/ingest_date=2026-01-01/fifa_ranking_2022-10-06.csv",
-             "s3://b/raw_kaggle/ingest_date=2026-01-03/fifa_ranking_2022-10-06.csv",
-             "s3://b/raw_kaggle/ingest_date=2026-01-02/fifa_ranking_2026-06-08.csv",
-             "s3://b/raw_kaggle/ingest_date=2026-01-05/world_cup.csv"]
-    assert latest_per_file(files, r"^fifa_ranking_.*\.csv$") == [files[1], files[2]]
-
-
 def test_audit_counts_rows_during_write(spark, tmp_path):
     audit = audited_writes(spark, {"a": spark.range(7), "b": spark.range(2)}, str(tmp_path), "2026-01-01")
     assert {r.table_name: r.n_rows for r in audit.collect()} == {"a": 7, "b": 2}
