@@ -137,22 +137,35 @@ def test_duplicate_match_blocks_publication(spark, tmp_path):
         M.current_paths(spark, str(tmp_path / "gold"))
 
 
-def test_reference_inputs_profile(spark, built):
+def test_editions_rankings_schedules(spark, built):
     base = built[0]
     ed = M.read_silver(spark, str(base / "silver"), "editions")
     fifa = M.read_silver(spark, str(base / "silver"), "fifa_ranking")
-    if ed.count() != 22:
-        pytest.skip("public raw inputs not available")
-    assert fifa.groupBy("snapshot_date").count().where(F.col("count") == 211).count() == 2
+    assert ed.count() == 6
     row = ed.where(F.col("year") == 2022).first()
     assert (row.top_scorer, row.top_scorer_goals) == ("Kylian Mbappé", 8)
+    assert ed.where(F.col("year") == 1974).first().champion == "Germany"
+    assert {r.snapshot_date: r["count"] for r in fifa.groupBy("snapshot_date").count().collect()} == {
+        dt.date(2022, 10, 6): 7, dt.date(2026, 6, 8): 5}
+    assert "rated_matches" not in fifa.columns
+    assert fifa.where(F.col("team") == "South Korea").count() == 2
+    assert fifa.where(F.col("team") == "Turkey").count() == 1
     sched = M.read_silver(spark, str(base / "silver"), "schedule_2026")
-    first = sched.where(F.col("home_team") == "Mexico").orderBy("match_date").first()
+    first = sched.where(F.col("home_team") == "Mexico").first()
     assert (first.kickoff_local_time, first.kickoff_other_time) == ("13:00", "22:00")
     assert first.kickoff_datetime_local == dt.datetime(2026, 6, 11, 13, 0)
-    assert fifa.where(F.col("team") == "South Korea").count() == 2
+    usa = sched.where(F.col("home_team") == "United States").first()
+    assert (usa.kickoff_local_time, usa.away_team) == ("09:00", "Paraguay")
+    fb = {r.game_id: r for r in M.read_silver(spark, str(base / "silver"), "fbref_schedule").collect()}
+    assert (fb["g1"].neutral_site, fb["g1"].venue, fb["g1"].home_score, fb["g1"].away_score) == (
+        True, "Al Bayt Stadium", 0, 2)
+    assert (fb["g2"].home_score, fb["g2"].away_score) == (3, 3)
+    assert (fb["g3"].kickoff_local_time, fb["g3"].home_score, fb["g3"].season) == (None, None, None)
+    assert fb["g4"].match_date is None and fb["g4"].kickoff_local_time == "09:00"
     ts = M.read_silver(spark, str(base / "silver"), "team_stats")
-    assert ts.count() == 96 and "per_90_minutes_g_plus_a_pk" in ts.columns
+    assert ts.count() == 3 and "per_90_minutes_g_plus_a_pk" in ts.columns
+    assert dict(ts.dtypes)["season"] == "bigint" and dict(ts.dtypes)["poss"] == "double"
+    assert {r.team for r in ts.collect()} == {"Algeria", "Bosnia & Herz.", "Iran"}
 
 
 def test_missing_sources_are_skipped(spark, tmp_path):
