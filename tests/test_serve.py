@@ -76,3 +76,14 @@ def test_role_playing_result(catalog):
 def test_catalog_holds_only_listed_views(catalog):
     names = {t.name for t in catalog.session.catalog.listTables()}
     assert names == {"dim_equipe", "fait_match", "mart_classement_buteurs"}
+
+
+def test_statement_time_limit_interrupts(spark):
+    import time
+    cat = ServedCatalog(spark, {"dim_equipe": lambda s: s.createDataFrame([(1, "A")], "id_equipe int, pays string")},
+                        timeout_s=1.0)
+    t0 = time.time()
+    with pytest.raises(Exception):
+        cat.run("SELECT sum(id) FROM range(0, 100000000000)")
+    assert time.time() - t0 < 60
+    assert cat.run("SELECT count(*) FROM dim_equipe")[0][0] == 1   # session still usable
