@@ -78,6 +78,8 @@ class ServedCatalog:
         for n in nodes:
             if _WRITE_WORDS.search(n):
                 raise SQLRefused(f"write or command node refused: {n}")
+            if "TableValuedFunction" in n:
+                raise SQLRefused("only the served tables may be read (table function refused)")
         if nodes[0] not in _QUERY_ROOTS:
             raise SQLRefused(f"only queries are allowed (got {nodes[0]})")
         if "AnalysisException" in text or "Error occurred during query planning" in text:
