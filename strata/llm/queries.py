@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from .packing import op5_packing
+from .pii import op10_semi_crf_pii
+from .quality import op6_mil_quality
 from .rules import op9_rule_ledger
 from .sharding import op1_kd_shards
+from .toxicity import op2_pu_toxicity
 from .urls import OP7_SQL, op7_url_filter
 
 QUERIES = {
     "op1_kd_shards": op1_kd_shards,
+    "op2_pu_toxicity": op2_pu_toxicity,
+    "op5_packing": op5_packing,
+    "op6_mil_quality": op6_mil_quality,
     "op7_url_filter": op7_url_filter,
     "op9_rule_ledger": op9_rule_ledger,
+    "op10_semi_crf_pii": op10_semi_crf_pii,
 }
 
 ORACLE_SQL = {
