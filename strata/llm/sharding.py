@@ -146,16 +146,18 @@ def build_tree(meta: DataFrame, shards: int) -> tuple[Tree, tuple]:
 
 def _summary(node, v, c, i, w) -> pd.DataFrame:
     """At most SLICES + 1 points a node, evenly spread by weight: each stands for the rows since the last one."""
+    if not len(node):
+        return pd.DataFrame({x: np.zeros(0, dtype=np.int64) for x in ("node", "v", "c", "i", "w")})
     order = np.lexsort((i, c, v, node))
     node, v, c, i, w = (x[order] for x in (node, v, c, i, w))
-    first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, dtype=np.int64)
+    first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
     keep = []
     for a, b in zip(first, np.r_[first[1:], len(node)], strict=True):
         total = np.cumsum(w[a:b])
         piece = total * SLICES // max(1, total[-1])
         keep.append(a + np.flatnonzero(np.r_[piece[1:] != piece[:-1], True]))
-    at = np.concatenate(keep) if keep else np.zeros(0, dtype=np.int64)
-    sums = np.add.reduceat(w, np.r_[0, at[:-1] + 1]) if len(at) else w[:0]
+    at = np.concatenate(keep)
+    sums = np.add.reduceat(w, np.r_[0, at[:-1] + 1])
     return pd.DataFrame({"node": node[at], "v": v[at], "c": c[at], "i": i[at], "w": sums})
 
 
