@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP8_SQL, op8_decontamination
 from .packing import op5_packing
 from .pii import op10_semi_crf_pii
 from .quality import op6_mil_quality
@@ -16,10 +17,12 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_mil_quality": op6_mil_quality,
     "op7_url_filter": op7_url_filter,
+    "op8_decontamination": op8_decontamination,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_semi_crf_pii": op10_semi_crf_pii,
 }
 
 ORACLE_SQL = {
     "op7_url_filter": OP7_SQL,
+    "op8_decontamination": OP8_SQL,
 }

@@ -162,7 +162,7 @@ WITH p AS (
 c AS (
   SELECT page_id, host, path,
          array_to_string(list_sort(list_filter(string_split(query, '&'),
-           x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)='))), '&') AS kept
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)='))), '&') AS kept
   FROM p),
 k AS (
   SELECT page_id, host, path,
