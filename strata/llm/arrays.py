@@ -72,10 +72,12 @@ SPACE_WORD = ~byte_table(bytes([9, 10, 11, 12, 13, 32]))
 ALNUM_WORD = byte_table(bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 
 
-def _byte_values(lower: bool) -> np.ndarray:
+def _byte_values(lower: bool, digits: bool) -> np.ndarray:
     b = np.arange(256, dtype=_U)
     if lower:
         b[65:91] += _U(32)
+    if digits:
+        b[48:58] = _U(48)
     return mix64(b + _U(0x51ED270B9F))
 
 
@@ -84,7 +86,7 @@ class Slab:
 
     def __init__(self, buf: np.ndarray, off: np.ndarray):
         self.buf, self.off, self.n = buf, off, len(off) - 1
-        self._prefix: dict[bool, np.ndarray] = {}
+        self._prefix: dict[tuple[bool, bool], np.ndarray] = {}
 
     def per_doc(self, mask: np.ndarray) -> np.ndarray:
         """How many of the bytes that ``mask`` marks each text has."""
@@ -124,15 +126,30 @@ class Slab:
         ends[last] = self.off[1:]
         return starts, ends, np.searchsorted(doc, np.arange(self.n + 1))
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-        """A 64-bit hash of each byte range (A-Z as a-z if ``lower``)."""
-        pw, ipw = _powers(len(self.buf) + 1)
-        if lower not in self._prefix:
-            c = np.zeros(len(self.buf) + 1, dtype=_U)
-            np.cumsum(_byte_values(lower)[self.buf] * pw[: len(self.buf)], out=c[1:], dtype=_U)
-            self._prefix[lower] = c
-        c = self._prefix[lower]
-        return mix64((c[ends] - c[starts]) * ipw[starts] + (ends - starts).astype(_U))
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = False, digits: bool = False) -> np.ndarray:
+        """A 64-bit hash of each byte range (``lower``: A-Z as a-z; ``digits``: all digits alike)."""
+        how = (lower, digits)
+        if how not in self._prefix:
+            self._prefix[how] = _prefix_sums(_byte_values(lower, digits)[self.buf])
+        return range_hashes(self._prefix[how], starts, ends)
+
+
+def _prefix_sums(values: np.ndarray) -> np.ndarray:
+    pw, _ = _powers(len(values) + 1)
+    c = np.zeros(len(values) + 1, dtype=_U)
+    np.cumsum(values * pw[: len(values)], out=c[1:], dtype=_U)
+    return c
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of a sequence, from its prefix sums."""
+    _, ipw = _powers(len(sums))
+    return mix64((sums[ends] - sums[starts]) * ipw[starts] + (ends - starts).astype(_U))
+
+
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of a sequence of hashes (words of a line)."""
+    return range_hashes(_prefix_sums(values), starts, ends)
 
 
 def doc_of(first: np.ndarray) -> np.ndarray:

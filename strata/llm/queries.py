@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .decontaminate import OP8_SQL, op8_decontamination
+from .lines import op4_fuzzy_lines
+from .neardup import op3_minhash
 from .packing import op5_packing
 from .pii import op10_semi_crf_pii
 from .quality import op6_mil_quality
@@ -14,6 +16,8 @@ from .urls import OP7_SQL, op7_url_filter
 QUERIES = {
     "op1_kd_shards": op1_kd_shards,
     "op2_pu_toxicity": op2_pu_toxicity,
+    "op3_minhash": op3_minhash,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_packing": op5_packing,
     "op6_mil_quality": op6_mil_quality,
     "op7_url_filter": op7_url_filter,
