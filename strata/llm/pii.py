@@ -39,8 +39,8 @@ from .arrays import LONG, STRING, Slab, byte_table, field, map_text
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE_DOCS = 3_000
 TRAIN_WINDOWS = 900
-MAX_TOKENS = 24
-MAX_CHARS = 80
+MAX_TOKENS = 32
+MAX_CHARS = 96
 CONTEXT = 30
 
 # The base patterns.  The lookbehind and the possessive
@@ -218,7 +218,8 @@ def marginals(n: int, segs: list, scores: np.ndarray) -> tuple[float, np.ndarray
 def rewritten(kind: str, s: str) -> list[str]:
     """Other ways to write an entity, for training."""
     if kind == "email":
-        return [s.replace("@", " (at) ").replace(".", " (dot) "), s.replace("@", "[at]"), s.replace("@", " [at] ").replace(".", "[dot]")]
+        name, _, host = s.rpartition("@")
+        return [f"{name} (at) {host.replace('.', ' (dot) ')}", f"{name}[at]{host}", f"{name} [at] {host.replace('.', '[dot]')}"]
     if kind == "ip":
         return [s.replace(".", "[.]")]
     if kind == "card":
@@ -235,7 +236,8 @@ def train_field(examples: list[tuple[str, list[tuple[str, int, int]]]], steps: i
         n, segs = segments(text)
         want = {(a, b, k) for k, a, b in gold}
         y = np.array([(s[4], s[5], s[2]) in want for s in segs], dtype=np.float64)
-        if segs:
+        # A window whose entities are not all candidates (too long, say) has no segmentation to learn from.
+        if segs and y.sum() == len(want):
             prepared.append((n, segs, np.array([KINDS.index(s[2]) for s in segs]), np.stack([s[3] for s in segs]), y))
     w, squares = np.zeros((len(KINDS), N_FEATURES)), np.full((len(KINDS), N_FEATURES), 1e-3)
     for _ in range(steps):
