@@ -15,7 +15,9 @@ class FractionalValueError(ValueError):
 # A failed text-to-number cast is handled with an exception inside Spark and
 # costs ~100x a successful one, so cheap string checks decide which cast to
 # attempt: only text that can be a number of that kind is ever cast.
-_NUMBER_START = list("0123456789+-.iInN")
+_NUMBER_CHARS = "0123456789+-.eE"
+# The words that stand for infinity, in lower case.
+_INFINITY = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
 
 def _digits_only(t) -> Column:
@@ -24,10 +26,15 @@ def _digits_only(t) -> Column:
 
 
 def to_double(c) -> Column:
-    """Text to DOUBLE; unparsable, NaN and empty give null."""
+    """Text to DOUBLE; unparsable, NaN and empty give null.
+
+    Only digits, sign, point and a decimal exponent, or a word for infinity:
+    the type suffixes (``12d``) and hexadecimal forms that a cast also takes
+    are not numbers here.
+    """
     s = strip_ws(_c(c).cast("string"))
-    d = F.when(F.substring(s, 1, 1).isin(*_NUMBER_START), s.try_cast("double"))
-    return F.nanvl(d, F.lit(None).cast("double"))
+    decimal = (F.length(s) > 0) & (F.btrim(s, F.lit(_NUMBER_CHARS)) == "")
+    return F.when(decimal | F.lower(s).isin(*_INFINITY), s.try_cast("double"))
 
 
 def to_long(c, strict: bool = False) -> Column:

@@ -22,16 +22,23 @@ MINUTE_SEPARATOR = "·"
 PENALTY_MARKER = "(P)"
 
 
+# A calendar date, alone or followed by a time of day.
+_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def to_date_coerce(c, formats=("yyyy-MM-dd",)) -> Column:
-    """Text to DATE trying each format in turn; unparsable gives null."""
+    """Text to DATE trying each format in turn; unparsable gives null.
+
+    The default takes every ISO form: one or two digits for month and day, and
+    a time of day behind it, which is dropped.
+    """
     s = strip_ws(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_date(s, f) for f in formats])
-    if tuple(formats) == ("yyyy-MM-dd",):
-        # A failed parse is costly: attempt only text shaped like the format.
-        shaped = ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
-                  & (F.btrim(s, F.lit("0123456789-")) == ""))
-        return F.when(shaped, parsed)
-    return parsed
+    if tuple(formats) != ("yyyy-MM-dd",):
+        return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    # The common form is told by its characters; only other texts meet the regex.
+    plain = ((F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+             & (F.btrim(s, F.lit("0123456789-")) == "") & ~F.contains(s, F.lit("--")))
+    return F.when(plain | s.rlike(_ISO_DATE), F.substring_index(F.substring_index(s, "T", 1), " ", 1).try_cast("date"))
 
 
 def norm_time(c) -> Column:
@@ -55,9 +62,10 @@ def parse_kickoff(c) -> tuple[Column, Column]:
 
 
 def local_timestamp(date_text, time_text) -> Column:
-    """Date text + ``HH:MM`` → TIMESTAMP_NTZ; null when the time is missing."""
-    joined = F.concat_ws(" ", strip_ws(_c(date_text).cast("string")), _c(time_text))
-    return F.when(_c(time_text).isNotNull(), joined.try_cast("timestamp_ntz"))
+    """Date text + ``HH:MM`` → TIMESTAMP_NTZ; null when either is missing or no date."""
+    day = F.date_format(to_date_coerce(date_text), "yyyy-MM-dd")
+    joined = F.concat_ws(" ", day, _c(time_text))
+    return F.when(_c(time_text).isNotNull() & day.isNotNull(), joined.try_cast("timestamp_ntz"))
 
 
 def split_score(c) -> tuple[Column, Column]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup side broadcast to every executor.  Dimension rows are a key
-# plus a few labels, so a million rows stay far below executor memory.
+# Largest lookup side broadcast to every executor, in rows and in bytes.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 # Decisions already taken in this application, keyed by the plan's semantic
@@ -17,11 +19,15 @@ _DECISIONS: dict[tuple, bool] = {}
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+    """True when ``df`` has at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES`` of values (reads at most max_rows+1)."""
     files = tuple(sorted(df.inputFiles()))
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
     if not files or key not in _DECISIONS:
-        decision = df.limit(max_rows + 1).count() <= max_rows
+        width = reduce(lambda a, b: a + b, [
+            F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) + F.lit(16) if f.dataType.simpleString() in ("string", "binary")
+            else F.lit(16) for f in df.schema.fields], F.lit(16))
+        n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+        decision = n <= max_rows and size <= MAX_BROADCAST_BYTES
         if not files:
             return decision
         _DECISIONS[key] = decision

@@ -21,7 +21,8 @@ def pk_violations(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null foreign key has no parent row."""
-    keys = parent.select(F.col(pk).alias("__pk")).distinct()
+    # An anti-join only asks whether a key exists, so the parent's keys need not be distinct.
+    keys = parent.select(F.col(pk).alias("__pk"))
     return (child.where(F.col(fk).isNotNull())
                  .join(keys, F.col(fk) == F.col("__pk"), "left_anti"))
 

@@ -34,21 +34,29 @@ def role_union(df: DataFrame, roles: list[dict[str, object]], keep: list[str] =
 
 
 def unpivot_tagged(df: DataFrame, specs: list[tuple[str, dict]], value_name: str,
-                   keep: list[str]) -> DataFrame:
+                   keep: list[str], skip_null: bool = False) -> DataFrame:
     """Wide → long: each listed column becomes rows tagged with constants.
 
+    ``skip_null`` leaves null cells out before the rows are made.
+
     ``specs`` is an ordered list of (source column, {tag: value}); columns that
     are absent from ``df`` are skipped.  ``source_ordinal`` keeps the position
     of the column in ``specs`` for stable ordering downstream.
     """
     present = [(i, c, tags) for i, (c, tags) in enumerate(specs) if c in df.columns]
     if not present:
-        raise ValueError("none of the unpivot columns is present")
+        # Nothing to unpivot: no rows, in the usual columns.
+        tags = {t: F.lit(v) for t, v in (specs[0][1] if specs else {}).items()}
+        return df.select(*keep, F.lit(0).alias("source_ordinal"), *[v.alias(t) for t, v in tags.items()],
+                         F.lit(None).cast("string").alias(value_name)).where(F.lit(False))
     tag_names = list(present[0][2].keys())
     structs = [F.struct(F.lit(i).alias("source_ordinal"),
                         *[F.lit(tags[t]).alias(t) for t in tag_names],
                         F.col(c).cast("string").alias(value_name))
                for i, c, tags in present]
+    if skip_null:
+        structs = [F.when(F.col(c).isNotNull(), x) for x, (_, c, _) in zip(structs, present, strict=True)]
+        return df.select(*keep, F.inline(F.array_compact(F.array(*structs))))
     return df.select(*keep, F.inline(F.array(*structs)))
 
 

@@ -50,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is used
-    as is.  Only when nothing is configured (unit tests on one machine) a
-    private folder is created.
+    as is.  Only when nothing is configured and the master is local (unit
+    tests on one machine) a private folder is created; executors of a cluster
+    could not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -154,3 +154,27 @@ def test_indicator_and_sum_or_zero(spark):
 def test_snapshot_date_from_name(spark):
     assert one(spark, S.snapshot_date_from_name("v"), "fifa_ranking_2026-06-08.csv") == dt.date(2026, 6, 8)
     assert one(spark, S.snapshot_date_from_name("v"), "ranking.csv") is None
+
+
+@pytest.mark.parametrize("raw,number,whole", [
+    ("12d", None, None), ("64f", None, None), ("0x1p3", None, None), ("12.5D", None, None), ("1_0", None, None), ("1e3", 1000.0, 1000),
+    (" 12 ", 12.0, 12), ("-3.00", -3.0, -3), (".5", 0.5, None), ("+7", 7.0, 7), ("inf", float("inf"), None), ("-Infinity", float("-inf"), None),
+    ("nan", None, None), ("", None, None), ("e", None, None), ("--1", None, None), ("1.2.3", None, None),
+])
+def test_only_plain_numbers_are_numbers(spark, raw, number, whole):
+    assert one(spark, S.to_double("v"), raw) == number
+    assert one(spark, S.to_long("v"), raw) == whole
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("2018-06-14", dt.date(2018, 6, 14)), ("2018-6-4", dt.date(2018, 6, 4)), ("2018-06-14 00:00:00", dt.date(2018, 6, 14)),
+    ("2018-06-14T21:30", dt.date(2018, 6, 14)), ("2018", None), ("2018-06-14 later", None), ("2018-13-01", None), ("06-14-2018", None),
+    ("2018--6-14", None), ("", None), (None, None),
+])
+def test_iso_dates_of_any_length(spark, raw, expected):
+    assert one(spark, S.to_date_coerce("v"), raw) == expected
+
+
+def test_date_and_kickoff_agree(spark):
+    assert one(spark, S.local_timestamp(F.col("v"), F.lit("09:30")), "2018-6-4") == dt.datetime(2018, 6, 4, 9, 30)
+    assert one(spark, S.local_timestamp(F.col("v"), F.lit("09:30")), "unknown") is None

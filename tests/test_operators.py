@@ -110,3 +110,25 @@ def test_distributed_path_plan_has_no_single_partition_sort(spark):
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" in p or "BroadcastHashJoin" in p
     assert sorted(r.k for r in out.collect()) == list(range(1, 3001))
+
+
+def test_first_and_last_with_null_ordinals_and_ties(spark):
+    rows = [("a", None, "undated"), ("a", 2, "later"), ("a", 1, "z"), ("a", 1, "y"), ("b", None, "only")]
+    df = spark.createDataFrame(rows, "k string, d int, v string").repartition(4)
+    assert {r.k: r.v for r in keep_first(df, ["k"], ["d"]).collect()} == {"a": "y", "b": "only"}
+    assert {r.k: r.v for r in latest_non_null(df, ["k"], ["v"], ["d"]).collect()} == {"a": "undated", "b": "only"}
+    dated = df.where("d is not null")
+    tied = dated.union(spark.createDataFrame([("a", 2, "last")], dated.schema))
+    assert latest_non_null(tied, ["k"], ["v"], ["d"]).first().v == "later"
+
+
+def test_broadcast_is_bounded_by_bytes(spark, monkeypatch):
+    from strata.operators import joins
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 1000)
+    wide = spark.range(20).select(F.repeat(F.lit("x"), 100).alias("s"), "id")
+    assert not fits_broadcast(wide, 50) and fits_broadcast(wide.select("id"), 50)
+
+
+def test_unpivot_without_columns_gives_no_rows(spark):
+    out = unpivot_tagged(spark.range(3), [("absent", {"side": "home"})], "cell", ["id"])
+    assert out.columns == ["id", "source_ordinal", "side", "cell"] and out.count() == 0
