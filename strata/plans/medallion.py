@@ -6,7 +6,7 @@
   of its folder, with a manifest of row counts observed during the writes.
 * ``run_gold`` builds the star schema from the newest silver partitions,
   writes it to a fresh run folder, checks primary and foreign keys on the
-  written tables, builds the marts, and only then moves the ``_current``
+  written tables, builds the marts, and only then moves the ``current_run``
   pointer, so readers never see a half-built or inconsistent schema.
 * ``served_catalog`` opens the read-only SQL surface over the current run.
 """
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +22,8 @@ from pyspark.sql import types as T
 from ..operators import assert_constraints
 from ..sources import bronze
 from ..sources.csv import read_multiheader_csv, read_raw_csv, read_snapshots
-from ..sources.partitions import read_latest
-from ..sources.sinks import audited_writes, manifest, write_table
+from ..sources.partitions import partition_dates, read_latest
+from ..sources.sinks import audited_writes, manifest, write_pointer, write_table
 from . import gold, marts, silver
 from .serve import ServedCatalog
 
@@ -80,8 +79,8 @@ def resolve_inputs(spark: SparkSession, bronze_root: str) -> dict:
     ranking = (parsed.where((F.col("prefix") == RANKING_PREFIX) & F.col("name").rlike(RANKING_FILES))
                      .select("path", "date", F.concat(F.lit("fifa_ranking:"), F.col("name")).alias("logical")))
     chosen = (wanted.select("path", "date", "logical").unionByName(ranking)
-                    .groupBy("logical").agg(F.max_by("path", "date").alias("path"))
-                    .collect())
+                    .groupBy("logical").agg(F.max(F.struct("date", "path")).alias("newest"))
+                    .select("logical", "newest.path").collect())
     out: dict = {r.logical: r.path for r in chosen if not r.logical.startswith("fifa_ranking:")}
     out["fifa_ranking"] = sorted(r.path for r in chosen if r.logical.startswith("fifa_ranking:"))
     if not out.get("matches") and not out["fifa_ranking"]:
@@ -89,37 +88,46 @@ def resolve_inputs(spark: SparkSession, bronze_root: str) -> dict:
     return out
 
 
-def silver_tables(spark: SparkSession, inputs: dict) -> dict[str, DataFrame]:
-    """Silver DataFrames for the sources present (absent ones are skipped)."""
+def silver_tables(spark: SparkSession, inputs: dict, multiline: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Silver DataFrames for the sources present (absent ones are skipped).
+
+    ``multiline`` names the sources whose cells may hold newlines.
+    """
+    def read(source: str) -> DataFrame:
+        return read_raw_csv(spark, inputs[source], multiline=source in multiline)
+
     t: dict[str, DataFrame] = {}
     if inputs.get("matches"):
-        raw = read_raw_csv(spark, inputs["matches"]).persist(StorageLevel.MEMORY_AND_DISK)
+        raw = read("matches")
         t["matches"] = silver.transform_matches(raw)
         t["goals"] = silver.transform_goals(raw, keep_order_columns=True)
     if inputs.get("editions"):
-        t["editions"] = silver.transform_editions(read_raw_csv(spark, inputs["editions"]))
+        t["editions"] = silver.transform_editions(read("editions"))
     if inputs.get("fifa_ranking"):
         t["fifa_ranking"] = silver.transform_fifa_ranking(read_snapshots(spark, inputs["fifa_ranking"]))
     if inputs.get("schedule_2026"):
-        t["schedule_2026"] = silver.transform_schedule_2026(read_raw_csv(spark, inputs["schedule_2026"]))
+        t["schedule_2026"] = silver.transform_schedule_2026(read("schedule_2026"))
     if inputs.get("fbref_schedule"):
-        t["fbref_schedule"] = silver.transform_fbref_schedule(read_raw_csv(spark, inputs["fbref_schedule"]))
+        t["fbref_schedule"] = silver.transform_fbref_schedule(read("fbref_schedule"))
     for name, n_index in (("player_stats", 4), ("player_shooting", 4), ("team_stats", 3)):
         if inputs.get(name):
             t[name] = silver.transform_flat(read_multiheader_csv(spark, inputs[name], n_index))
     return t
 
 
-def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, ingest_date: str) -> DataFrame:
+def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, ingest_date: str,
+               multiline: tuple[str, ...] = ()) -> DataFrame:
     """Write every silver table for ``ingest_date`` and its manifest.
 
-    Returns the audit (table_name, path, n_rows); the manifest JSON goes to
+    Returns the audit (table_name, path, n_rows, size_bytes, source); the manifest JSON goes to
     ``_manifests/ingest_date=D``.
     """
-    tables = silver_tables(spark, resolve_inputs(spark, bronze_root))
-    audit = audited_writes(spark, tables, silver_root, ingest_date)
+    inputs = resolve_inputs(spark, bronze_root)
+    sources = {name: f"{len(x)} snapshot files" if isinstance(x, list) else x for name, x in inputs.items()}
+    sources["goals"] = sources.get("matches")
+    audit = audited_writes(spark, silver_tables(spark, inputs, multiline), silver_root, ingest_date, sources)
     base = f"{silver_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"
-    manifest(audit).coalesce(1).write.mode("overwrite").json(f"{base}/summary")
+    manifest(audit, uuid.uuid4().hex[:12], ingest_date).coalesce(1).write.mode("overwrite").json(f"{base}/summary")
     audit.write.mode("overwrite").json(f"{base}/tables")
     return audit
 
@@ -129,11 +137,8 @@ def read_silver(spark: SparkSession, silver_root: str, table: str, as_of: str |
 
 
 def _has_table(spark: SparkSession, silver_root: str, table: str) -> bool:
-    try:
-        spark.read.parquet(f"{silver_root.rstrip('/')}/{table}").inputFiles()
-        return True
-    except Exception:  # noqa: BLE001 - absent source
-        return False
+    """Whether the table has a partition; only a missing path counts as absent, other errors are raised."""
+    return bool(partition_dates(spark, f"{silver_root.rstrip('/')}/{table}"))
 
 
 # Declared types of the served model (INTEGER → int, BIGINT → bigint).
@@ -197,13 +202,12 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, as_of: str |
     assert_constraints(gold.gold_constraints(t))
     for name, df in marts.build_marts(t).items():
         publish(name, df)
-    (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
-          .write.mode("overwrite").text(f"{gold_root.rstrip('/')}/_current"))
+    write_pointer(spark, f"{gold_root.rstrip('/')}/current_run", run_id)
     return paths
 
 
 def current_paths(spark: SparkSession, gold_root: str) -> dict[str, str]:
-    run_id = spark.read.text(f"{gold_root.rstrip('/')}/_current").first()[0]
+    run_id = spark.read.text(f"{gold_root.rstrip('/')}/current_run").first()[0]
     base = f"{gold_root.rstrip('/')}/runs/{run_id}"
     return {name: f"{base}/{name}" for name in GOLD_SCHEMAS}
 

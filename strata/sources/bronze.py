@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,12 @@ def landing_plan(files: DataFrame, ingest_date: str) -> DataFrame:
                         F.concat(F.lit("repo:"), F.col("relpath")).alias("source"))
 
 
+def store_uri(uri: str) -> str:
+    """Spark's names of the S3 connector as the one that pyarrow knows."""
+    scheme, sep, rest = uri.partition("://")
+    return f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else uri
+
+
 def _copy_partition(dest_root: str):
     def run(batches):
         import pandas as pd
@@ -68,19 +75,22 @@ def _copy_partition(dest_root: str):
                 if src_local is not None:
                     sfs, spath = pafs.LocalFileSystem(), src_local
                 else:
-                    sfs, spath = pafs.FileSystem.from_uri(src)
+                    sfs, spath = pafs.FileSystem.from_uri(store_uri(src))
                 if dst_local is not None:
                     dfs, dpath = pafs.LocalFileSystem(), dst_local
                 else:
-                    dfs, dpath = pafs.FileSystem.from_uri(dst)
+                    dfs, dpath = pafs.FileSystem.from_uri(store_uri(dst))
                 dfs.create_dir(dpath.rsplit("/", 1)[0], recursive=True)
-                # Streamed copy: the file never sits whole in a Spark row.
-                with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(dpath) as fout:
+                # Streamed copy: the file never sits whole in a Spark row.  It goes to a name of
+                # its own first, so a failed or doubled task leaves no torn file under the key.
+                part = f"{dpath}.{uuid.uuid4().hex}.part"
+                with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(part) as fout:
                     while True:
                         chunk = fin.read(8 << 20)
                         if not chunk:
                             break
                         fout.write(chunk)
+                dfs.move(part, dpath)
                 done.append(key)
             yield pd.DataFrame({"key": done})
     return run

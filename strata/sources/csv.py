@@ -8,8 +8,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import snake_name
+from ..functions.numeric import to_double, to_long
 
 # Cell texts that pandas' CSV reader turns into missing values.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -30,19 +32,44 @@ def null_tokens(df: DataFrame, tokens=NA_TOKENS) -> DataFrame:
     return df.select(*cols)
 
 
+_CORRUPT = "__corrupt"
+
+
+def _checked(df: DataFrame, width: int) -> DataFrame:
+    """Raise on rows that the reader would cut or tear: too many cells, or a quote left open.
+
+    Rows with too few cells are complete but short; their last columns are null.
+    """
+    rec = F.col(_CORRUPT)
+    quotes = F.length(rec) - F.length(F.replace(rec, F.lit('"'), F.lit("")))
+    bare = F.regexp_replace(rec, '"[^"]*"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    bad = F.coalesce((quotes % 2 == 1) | (cells > width), F.lit(False))
+    # The first column is named too: a scan of the raw record alone is not allowed.
+    message = F.concat(F.lit("row with too many cells or an open quote (quoted newlines need multiline=True): "), rec,
+                       F.lit("; first cell: "), F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit("")))
+    return df.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop(_CORRUPT)
+
+
+def _strings(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
+
+
 def read_raw_csv(spark: SparkSession, path, multiline: bool = False,
                  with_source: bool = False) -> DataFrame:
     """Header CSV as all-string columns with missing-value tokens as null.
 
     No type inference (each job coerces its own columns).  ``multiline`` allows
-    quoted newlines but makes each file a single task, so it is off by default.
+    quoted newlines but makes each file a single task, so it is off by default;
+    a row torn by one, or with more cells than the header, is an error.
     ``with_source`` adds ``source_file`` (file name) from the scan metadata.
     """
-    df = (spark.read.option("header", True).option("multiLine", multiline)
-               .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("mode", "PERMISSIVE")
+    names = reader.csv(path).columns
+    df = reader.schema(_strings(names)).option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_name"))
-    return null_tokens(df)
+    return null_tokens(_checked(df, len(names)))
 
 
 def read_snapshots(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -81,21 +108,27 @@ def multiheader_names(header_rows: list[list[str]], n_index: int) -> list[str]:
     return names
 
 
+# Statistics columns that hold text; all others are numbers.
+STATISTICS_TEXT = ("league", "team", "player", "nation", "pos", "age", "url")
+
+
 def read_multiheader_csv(spark: SparkSession, path: str, n_index: int,
-                         header_depth: int = 3) -> DataFrame:
+                         header_depth: int = 3, text: tuple[str, ...] | None = STATISTICS_TEXT) -> DataFrame:
     """Flatten a CSV with two header levels and an index-name row.
 
     The header lines (three per file) are read on the driver from the first
     file only; every file's header lines are then removed by content, so the
-    read stays splittable and position-free.  Column types are inferred with
-    one aggregation pass: a column whose non-null values all parse as integers
-    becomes BIGINT, as numbers DOUBLE, else it stays a string.
+    read stays splittable and position-free.  Columns named in ``text`` are strings,
+    ``season`` BIGINT and all others DOUBLE, so a table has the same types on
+    every date.  ``text=None`` infers them instead with one aggregation pass
+    (:func:`infer_types`).  A row with more cells than the header is an error.
     """
     header_rows = _header_lines(spark, path, header_depth)
     names = multiheader_names(header_rows, n_index)
-    raw = (spark.read.option("header", False).option("escape", '"')
-                .option("recursiveFileLookup", True).csv(path))
-    raw = raw.select(*[F.col(c) for c in raw.columns[:len(names)]]).toDF(*names)
+    cells = [f"c{i}" for i in range(len(names))]
+    raw = (spark.read.option("header", False).option("escape", '"').option("columnNameOfCorruptRecord", _CORRUPT)
+                .option("recursiveFileLookup", True).schema(_strings(cells)).csv(path))
+    raw = _checked(raw, len(names)).toDF(*names)
     is_header = None
     for row in header_rows:
         cells = [(row[i] if i < len(row) and row[i] != "" else None) for i in range(len(names))]
@@ -103,12 +136,15 @@ def read_multiheader_csv(spark: SparkSession, path: str, n_index: int,
                       [F.col(n).eqNullSafe(F.lit(v).cast("string")) for n, v in zip(names, cells)])
         is_header = cond if is_header is None else (is_header | cond)
     data = null_tokens(raw.where(~is_header))
-    return infer_types(data)
+    if text is None:
+        return infer_types(data)
+    typed = lambda c: to_long(c).alias(c) if c == "season" else to_double(c).alias(c)
+    return data.select(*[F.col(c) if c in text else typed(c) for c in names])
 
 
-def infer_types(df: DataFrame, keep_string: list[str] = ()) -> DataFrame:
+def infer_types(df: DataFrame) -> DataFrame:
     """Cast string columns to BIGINT or DOUBLE when every non-null value fits."""
-    cand = [c for c in df.columns if c not in keep_string]
+    cand = df.columns
     if not cand:
         return df
     probes = []
@@ -130,13 +166,13 @@ def infer_types(df: DataFrame, keep_string: list[str] = ()) -> DataFrame:
 
 
 def write_multiheader_csv(df: DataFrame, path: str, groups: list[tuple[str, str]],
-                          index_names: list[str], n_files: int = 4) -> None:
-    """Write ``df`` as CSV files in the two-level-header layout.
+                          index_names: list[str], n_files: int | None = None) -> None:
+    """Write ``df`` as CSV files in the two-level-header layout, cells quoted where they need it.
 
     ``groups`` gives (level-0, level-1) labels of the non-index columns.  Each
     output file starts with the three header lines: rows are hash-spread over
-    ``n_files`` file buckets, the header lines are repeated in each bucket and
-    sorted first inside it.
+    ``n_files`` file buckets (by default as many as shuffle partitions), the
+    header lines are repeated in each bucket and sorted first inside it.
     """
     def line(cells):
         buf = io.StringIO()
@@ -148,8 +184,9 @@ def write_multiheader_csv(df: DataFrame, path: str, groups: list[tuple[str, str]
                line(blank + [s for _, s in groups]),
                line(index_names + [""] * len(groups))]
     spark = df.sparkSession
-    body = df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                        for c in df.columns]).alias("value"))
+    n_files = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = F.struct(*[F.col(c).cast("string") for c in df.columns])
+    body = df.select(F.to_csv(cells, {"escape": '"', "nullValue": "", "emptyValue": ""}).alias("value"))
     body = body.select("value", F.lit(len(headers)).alias("__ord"),
                        F.pmod(F.hash("value"), F.lit(n_files)).alias("bucket"))
     head = spark.createDataFrame([(h, i, b) for b in range(n_files) for i, h in enumerate(headers)],

@@ -5,31 +5,41 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-_DATE_DIR = re.compile(r"ingest_date=(\d{4}-\d{2}-\d{2})")
+_DATE_DIR = re.compile(r"^ingest_date=(\d{4}-\d{2}-\d{2})$")
 
 
 class NoPartitionFound(FileNotFoundError):
     pass
 
 
-def partition_dates(files: list[str]) -> list[str]:
-    return sorted({m.group(1) for f in files for m in [_DATE_DIR.search(f)] if m})
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, as Spark's own readers see them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def partition_dates(spark: SparkSession, root: str) -> list[str]:
+    """Dates of the ``ingest_date=`` folders right under ``root``; none if the path does not exist.
+
+    One listing of one folder: its entries are dates, never data files.  Any
+    error but a missing path is raised.
+    """
+    p, fs = hadoop_path(spark, root)
+    if not fs.exists(p):
+        return []
+    return sorted(m[1] for s in fs.listStatus(p) if s.isDirectory() for m in [_DATE_DIR.match(s.getPath().getName())] if m)
 
 
 def read_latest(spark: SparkSession, root: str, fmt: str = "parquet",
                 as_of: str | None = None) -> DataFrame:
     """Rows of the newest ``ingest_date`` partition (optionally not after ``as_of``).
 
-    The partition list comes from the file index Spark builds when it resolves
-    the table (``inputFiles``: metadata only, no data read); the choice then
-    becomes a literal partition filter, so the scan prunes every other date.
+    Only that folder is read, so its own schema holds: columns may come, go or
+    change type between dates.
     """
-    df = spark.read.format(fmt).load(root)
-    dates = partition_dates(df.inputFiles())
-    if as_of:
-        dates = [d for d in dates if d <= as_of]
+    dates = [d for d in partition_dates(spark, root) if not as_of or d <= as_of]
     if not dates:
         raise NoPartitionFound(f"no ingest_date partition under {root}")
-    return df.where(F.col("ingest_date") == F.lit(dates[-1]).cast("date"))
+    root = root.rstrip("/")
+    return spark.read.format(fmt).option("basePath", root).load(f"{root}/ingest_date={dates[-1]}")

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from fixtures import make_raw_tree
 from strata.sources import bronze
-from strata.sources.csv import (multiheader_names, read_multiheader_csv, read_raw_csv, read_snapshots)
+from strata.sources.bronze import store_uri
+from strata.sources.csv import (multiheader_names, read_multiheader_csv, read_raw_csv, read_snapshots, write_multiheader_csv)
 from strata.sources.partitions import NoPartitionFound, read_latest
-from strata.sources.sinks import audited_writes, manifest, write_partitioned
+from strata.sources.sinks import audited_writes, manifest, write_partitioned, write_pointer
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +68,8 @@ def test_multiheader_reader_types_and_rows(spark, raw):
     df = read_multiheader_csv(spark, os.path.join(raw, "soccerdata", "player_stats.csv"), 4)
     assert df.columns[:4] == ["league", "season", "team", "player"]
     types = dict(df.dtypes)
+    assert types["season"] == "bigint" and types["playing_time_min"] == "double" and types["player"] == "string"
+    types = dict(read_multiheader_csv(spark, os.path.join(raw, "soccerdata", "player_stats.csv"), 4, text=None).dtypes)
     assert types["season"] == "bigint" and types["playing_time_min"] == "bigint"
     assert types["per_90_minutes_gls"] == "double" and types["nation"] == "string"
     assert df.count() == 8
@@ -115,3 +118,44 @@ def test_nested_json_document(spark, tmp_path):
     p.write_text('{"tournaments":[{"year":2018,"host":"Russia"},{"year":2022,"host":"Qatar"}]}')
     df = bronze.read_json_document(spark, str(p)).select(F.explode("tournaments").alias("t")).select("t.*")
     assert sorted(r.year for r in df.collect()) == [2018, 2022]
+
+
+def test_torn_and_long_rows_are_errors(spark, tmp_path):
+    (tmp_path / "torn.csv").write_text('a,b\n1,"x\ny"\n')
+    (tmp_path / "long.csv").write_text("a,b\n1,2,3\n")
+    (tmp_path / "short.csv").write_text('a,b\n1\n"2,2",z\n')
+    for name in ("torn.csv", "long.csv"):
+        with pytest.raises(Exception, match="too many cells or an open quote"):
+            read_raw_csv(spark, str(tmp_path / name)).collect()
+    assert read_raw_csv(spark, str(tmp_path / "torn.csv"), multiline=True).collect() == [("1", "x\ny")]
+    assert sorted(read_raw_csv(spark, str(tmp_path / "short.csv")).collect()) == [("1", None), ("2,2", "z")]
+
+
+def test_newest_partition_has_its_own_schema(spark, tmp_path):
+    root = str(tmp_path / "t")
+    spark.sql("SELECT 1L AS age").write.parquet(f"{root}/ingest_date=2026-01-01")
+    spark.sql("SELECT 2.5D AS age, 'x' AS extra").write.parquet(f"{root}/ingest_date=2026-01-02")
+    new = read_latest(spark, root)
+    assert [(r.age, r.extra, str(r.ingest_date)) for r in new.collect()] == [(2.5, "x", "2026-01-02")]
+    assert read_latest(spark, root, as_of="2026-01-01").first().age == 1
+    with pytest.raises(NoPartitionFound):
+        read_latest(spark, root + "-absent")
+
+
+def test_multiheader_writer_quotes_cells(spark, tmp_path):
+    df = spark.createDataFrame([("L", 2020, 'A, "B"', 3.0), ("L", 2021, "C", None)], "league string, season int, team string, goals double")
+    write_multiheader_csv(df, str(tmp_path / "m"), [("Goals", "")], ["league", "season", "team"], n_files=2)
+    got = sorted(tuple(r) for r in read_multiheader_csv(spark, str(tmp_path / "m"), 3).select("season", "team", "goals").collect())
+    assert got == [(2020, 'A, "B"', 3.0), (2021, "C", None)]
+
+
+def test_pointer_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "current_run")
+    for text in ("one", "two"):
+        write_pointer(spark, path, text)
+        assert spark.read.text(path).first()[0] == text
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["current_run"]
+
+
+def test_store_scheme():
+    assert store_uri("s3a://b/k") == "s3://b/k" and store_uri("/x") == "/x" and store_uri("hdfs://h/x") == "hdfs://h/x"
