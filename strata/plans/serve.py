@@ -2,14 +2,13 @@
 
 A served catalog is a separate ``SparkSession`` (``newSession()``) that holds
 only the allow-listed gold tables as temporary views and cannot read files by
-path (``spark.sql.runSQLOnFiles=false``).  A statement is classified from the
-plan Spark's own parser produces (``EXPLAIN EXTENDED``) before it is run, since
-commands would execute eagerly inside ``spark.sql``.
+path (``spark.sql.runSQLOnFiles=false``).  The new session still shares the
+catalog and the global views, so a statement is judged before it runs, from
+the plan object of Spark's own parser: see :meth:`ServedCatalog.classify`.
 """
 
 from __future__ import annotations
 
-import re
 import threading
 import uuid
 from collections.abc import Callable
@@ -27,17 +26,21 @@ GOLD_TABLES = (
 # Default statement time limit of the served surface, in seconds.
 STATEMENT_TIMEOUT_S = 15.0
 
-# Parsed-plan nodes that read; anything else at the root is refused.
-_QUERY_ROOTS = {
-    "Project", "Aggregate", "Filter", "Sort", "GlobalLimit", "LocalLimit", "Offset",
-    "Union", "Intersect", "Except", "Distinct", "Join", "Window", "UnresolvedWith",
-    "WithCTE", "CTE", "SubqueryAlias", "UnresolvedRelation", "Generate", "Pivot",
-    "Unpivot", "UnresolvedHint", "Deduplicate", "LateralJoin", "Sample", "Tail",
-    "OneRowRelation", "UnresolvedInlineTable", "LocalRelation", "Expand", "WithWindowDefinition",
+# Node classes of a parsed statement that only read.  Anything else (commands,
+# writes, table functions, identifiers given as values) is refused.
+_READ_NODES = {
+    "Project", "Aggregate", "Filter", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Union", "Intersect", "Except",
+    "Distinct", "Join", "Window", "UnresolvedWith", "SubqueryAlias", "UnresolvedRelation", "Generate", "Pivot",
+    "Unpivot", "UnresolvedHint", "LateralJoin", "Sample", "OneRowRelation", "UnresolvedInlineTable", "LocalRelation",
+    "WithWindowDefinition", "UnresolvedHaving", "UnresolvedSubqueryColumnAliases",
 }
-_WRITE_WORDS = re.compile(
-    r"^(Insert|Drop|Create|Alter|Replace|Truncate|Delete|Update|Merge|Set|Reset|Cache|Uncache|"
-    r"Refresh|Add|Use|Load|Clear|Analyze|Repair|Rename|Describe|Show)|Command$|Statement$")
+# Functions that call into the JVM by name.
+_REFUSED_FUNCTIONS = {"reflect", "java_method", "try_reflect"}
+
+
+def _items(seq) -> list:
+    """A Scala sequence as a list."""
+    return [seq.apply(i) for i in range(seq.size())]
 
 
 class SQLRefused(ValueError):
@@ -55,6 +58,9 @@ class ServedCatalog:
     def __init__(self, spark: SparkSession,
                  tables: dict[str, str | Callable[[SparkSession], DataFrame]],
                  timeout_s: float = STATEMENT_TIMEOUT_S):
+        unknown = sorted(set(tables) - set(GOLD_TABLES))
+        if unknown:
+            raise ValueError(f"not tables of the served schema: {', '.join(unknown)}")
         self.session = spark.newSession()
         self.session.conf.set("spark.sql.runSQLOnFiles", "false")
         self.timeout_s = timeout_s
@@ -64,50 +70,78 @@ class ServedCatalog:
         self.tables = tuple(tables)
 
     def classify(self, sql: str) -> str:
-        """Return the parsed root node of a read-only query, else raise."""
+        """Return the parsed root node of a read-only query, else raise.
+
+        Decides on the plan object of Spark's parser: every node must be one
+        that reads, and every relation must be a served table by its plain
+        name or a common table expression in scope.
+        """
         if not sql or not sql.strip():
             raise SQLRefused("empty statement")
         try:
-            text = self.session.sql("EXPLAIN EXTENDED " + sql.strip().rstrip(";")).first()[0]
+            plan = self.session._jsparkSession.sessionState().sqlParser().parsePlan(sql.strip().rstrip(";"))
         except Exception as e:  # parse errors, several statements
             raise SQLRefused(f"not a single parsable statement: {str(e).splitlines()[0]}") from e
-        parsed = text.split("== Parsed Logical Plan ==", 1)[-1].split("== Analyzed", 1)[0]
-        nodes = [m.group(1) for m in re.finditer(r"^[\s:+\-!|]*'?([A-Za-z]+)", parsed, re.M)]
-        if not nodes:
-            raise SQLRefused("no plan")
-        for n in nodes:
-            if _WRITE_WORDS.search(n):
-                raise SQLRefused(f"write or command node refused: {n}")
-            if "TableValuedFunction" in n:
-                raise SQLRefused("only the served tables may be read (table function refused)")
-        if nodes[0] not in _QUERY_ROOTS:
-            raise SQLRefused(f"only queries are allowed (got {nodes[0]})")
-        if "AnalysisException" in text or "Error occurred during query planning" in text:
-            raise SQLRefused(text.split("\n", 1)[0])
-        return nodes[0]
+        self._check(plan, frozenset())
+        return plan.nodeName()
+
+    def _check(self, node, scope: frozenset) -> None:
+        name = node.getClass().getSimpleName().rstrip("$")
+        if name not in _READ_NODES:
+            raise SQLRefused(f"only queries over the served tables are allowed (got {name})")
+        if name == "UnresolvedRelation":
+            parts = _items(node.multipartIdentifier())
+            if len(parts) != 1 or parts[0].lower() not in scope | set(self.tables):
+                raise SQLRefused(f"not a served table: {'.'.join(parts)}")
+        for expression in _items(node.expressions()):
+            self._check_functions(expression)
+        for subquery in _items(node.subqueries()):
+            self._check(subquery, scope)
+        if name == "UnresolvedWith":
+            # A common table expression sees those before it, never itself.
+            for relation in _items(node.cteRelations()):
+                self._check(relation._2(), scope)
+                scope = scope | {relation._1().lower()}
+        for child in _items(node.children()):
+            self._check(child, scope)
+
+    def _check_functions(self, expression) -> None:
+        if expression.getClass().getSimpleName() == "UnresolvedFunction":
+            parts = [p.lower() for p in _items(expression.nameParts())]
+            if parts[-1] in _REFUSED_FUNCTIONS:
+                raise SQLRefused(f"function refused: {'.'.join(parts)}")
+        for child in _items(expression.children()):
+            self._check_functions(child)
 
     def sql(self, sql: str) -> DataFrame:
         """Validate then plan ``sql``; the result is a lazy DataFrame."""
         self.classify(sql)
-        return self.session.sql(sql.strip().rstrip(";"))
+        try:
+            return self.session.sql(sql.strip().rstrip(";"))
+        except Exception as e:  # unknown columns and the like
+            raise SQLRefused(str(e).splitlines()[0]) from e
 
-    def run(self, sql: str) -> list:
-        """Validate, execute with the statement time limit, return the rows."""
+    def stream(self, sql: str):
+        """Validate, execute with the statement time limit, give the rows one partition at a time."""
         df = self.sql(sql)
         tag = "strata-served-" + uuid.uuid4().hex[:8]
         self.session.addTag(tag)
         timer = threading.Timer(self.timeout_s, lambda: self.session.interruptTag(tag))
         timer.start()
         try:
-            return df.collect()
+            yield from df.toLocalIterator()
         finally:
             timer.cancel()
             self.session.removeTag(tag)
 
+    def run(self, sql: str) -> list:
+        """The rows of :meth:`stream` as a list, for results known to be small."""
+        return list(self.stream(sql))
+
 
 def is_read_only(catalog: ServedCatalog, sql: str) -> tuple[bool, str]:
     try:
-        catalog.classify(sql)
+        catalog.sql(sql)
         return True, ""
     except SQLRefused as e:
         return False, str(e)
