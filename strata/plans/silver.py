@@ -93,7 +93,7 @@ def explode_goals(df: DataFrame, home: str, away: str, match_date: str, year: st
     """
     keyed = df.withColumn("match_key", S.row_key(match_date, home, away))
     keep = ["match_key", year, match_date, home, away]
-    long = unpivot_tagged(keyed, sources, "cell", keep).where(F.col("cell").isNotNull())
+    long = unpivot_tagged(keyed, sources, "cell", keep, skip_null=True)
     chunks = explode_with_position(long, S.goal_chunks("cell"),
                                    [*keep, "source_ordinal", "side", "goal_type"], "position", "raw_chunk")
     chunks = chunks.withColumn("chunk", S.strip_ws("raw_chunk"))
