@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Buckets of at most this many members are compared in full after the first wave.
-SMALL_BUCKET = 32
+SMALL_BUCKET = 64
+#: Centres of larger buckets in the second wave; four times as many in each later one.
+CENTRES = 16
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -54,54 +56,66 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def shared_buckets(entries: DataFrame, weights: DataFrame) -> DataFrame:
-    """The entries (key, id) of keys that two ids or more share, with the smallest id as ``centre`` and the id's ``w``.
+def _joined_up(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` once ``links`` are added: only the groups that the links touch are worked on."""
+    if links.isEmpty():
+        return groups
+    side = lambda c: groups.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
+    named = links.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    merged = components(named.select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")))
+    new = merged.select(F.col("id").alias("component"), F.col("component").alias("now"))
+    old = groups.join(new, "component", "left").select("id", F.coalesce("now", "component").alias("component"))
+    return old.union(merged.join(groups.select("id"), "id", "left_anti")).checkpoint()
 
-    ``weights`` (id, w) is joined last, when most entries are gone.  Checkpointed.
-    """
-    buckets = entries.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("__max")).where("centre <> __max").drop("__max")
-    return entries.join(buckets, "key").join(weights, "id").select("key", "id", "w", "centre").checkpoint()
+
+def shared_buckets(entries: DataFrame) -> DataFrame:
+    """The entries (key, t, id) of keys that two ids or more share.  Checkpointed."""
+    buckets = entries.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    return entries.join(buckets, "key").checkpoint()
 
 
-def linked_groups(live: DataFrame, verify: Callable[[DataFrame], DataFrame], plausible: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """The components and the verified links of all pairs that share a key.
+def linked_groups(live: DataFrame, nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], plausible: Column,
+                  canonical: Column) -> DataFrame:
+    """The components (id, component) of the verified links of all pairs that share a key.
 
-    ``live`` is :func:`shared_buckets`' result (key, id, w, centre); ``w`` is
-    anything ``plausible`` needs of the two sides (``wa``, ``wb``) to rule a
-    pair out cheaply.  ``verify`` takes pairs (a, b) and returns those that
-    are links.
+    ``live``: key, t (the table a key belongs to), id.  ``nodes``: id, rank (a
+    long; the highest in a bucket is its first centre), w (what ``plausible``
+    needs of the two sides, ``wa`` and ``wb``, to rule a pair out exactly) and
+    x (what ``canonical`` needs, ``xa`` and ``xb``, to tell whether ``t`` is
+    the first table the two share, so that a pair in many buckets is made
+    once).  ``verify`` takes pairs (a, b) and returns those that are links.
     """
-    live = live.distinct()
-    fit = F.lit(True) if plausible is None else plausible
-    links = failed = groups = None
+    live = live.join(nodes.select("id", "rank", "w"), "id").distinct().checkpoint()
+    top = live.groupBy("key").agg(F.max("rank").alias("top"), F.min("rank").alias("low")).where("top <> low").select("key", "top")
+    live = live.join(top, "key").withColumn("hub", F.col("rank") == F.col("top")).drop("top").checkpoint()
+    hubs = live.where("hub").select("key", F.col("id").alias("a"), F.col("w").alias("wa"))
+    pairs = live.where("not hub").select("key", F.col("id").alias("b"), F.col("w").alias("wb")).join(hubs, "key").where(plausible)
+    failed = groups = None
     wave = 0
     while True:
-        if wave == 0:
-            hubs = live.where("id = centre").select("key", F.col("id").alias("a"), F.col("w").alias("wa"))
-            pairs = live.join(hubs, "key").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"), "wa", F.col("w").alias("wb"))
-        else:
-            # Members that may be centres this time: all of a small bucket, else about 2**(wave+1), chosen by a hash.
-            share = F.when(F.col("n") <= SMALL_BUCKET, F.lit(1)).otherwise(F.ceil(F.col("n") / F.lit(2 ** (wave + 1))))
-            live = live.withColumn("hub", F.pmod(F.xxhash64("id", F.lit(wave)), share) == 0)
-            hubs = live.where("hub").select("key", F.col("id").alias("a"), F.col("w").alias("wa"), F.col("group").alias("ga"))
-            pairs = live.join(hubs, "key").where((F.col("group") != F.col("ga")) & (F.col("id") != F.col("a"))) \
-                        .select("a", F.col("id").alias("b"), "wa", F.col("w").alias("wb"))
-        pairs = pairs.where(fit).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
         pairs = pairs.checkpoint()
         good = verify(pairs).select("a", "b").checkpoint()
-        bad = pairs.join(good, ["a", "b"], "left_anti")
+        bad = pairs.join(good, ["a", "b"], "left_anti").checkpoint()
         failed = bad if failed is None else failed.union(bad)
-        if links is None or not good.isEmpty():
-            links = good if links is None else links.union(good)
-            groups = components(links)
-        rest = live.where("id <> centre") if wave == 0 else live.where("not hub")
-        rest = rest.select("key", "id", "w").join(groups, "id", "left") \
-                   .select("key", "id", "w", F.coalesce("component", "id").alias("group"))
+        groups = components(good) if groups is None else _joined_up(groups, good)
+        # A centre was compared with its bucket and leaves it; buckets within one group are done.
+        rest = live.where("not hub").select("key", "t", "id", "w").join(groups, "id", "left") \
+                   .select("key", "t", "id", "w", F.coalesce("component", "id").alias("group"))
         open_ = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("g0"), F.max("group").alias("g1")) \
                     .where("g0 <> g1").select("key", "n")
-        live = rest.join(open_, "key").checkpoint()
         wave += 1
+        share = F.when(F.col("n") <= SMALL_BUCKET, F.lit(1)).otherwise(F.ceil(F.col("n") / F.lit(CENTRES * 4 ** (wave - 1))))
+        live = rest.join(open_, "key").withColumn("hub", F.pmod(F.xxhash64("id", F.lit(wave)), share) == 0).checkpoint()
+        # Shuffle files of the waves behind us go once nothing refers to them.
+        live.sparkSession.sparkContext._jvm.System.gc()
         if live.isEmpty():
-            return groups, links
+            return groups
+        full = live.join(nodes.select("id", "x"), "id")
+        hubs = full.where("hub").select("key", F.col("id").alias("a"), F.col("w").alias("wa"), F.col("x").alias("xa"), F.col("group").alias("ga"))
+        members = full.select("key", "t", F.col("id").alias("b"), F.col("w").alias("wb"), F.col("x").alias("xb"), F.col("group").alias("gb"), "hub")
+        # Two centres meet once, a centre and a member once.
+        once = (F.col("ga") != F.col("gb")) & (~F.col("hub") | (F.col("a") < F.col("b")))
+        pairs = members.join(hubs, "key").where(once & plausible & canonical)

@@ -15,8 +15,11 @@ at similarity s meets in some table with probability
    times is one row).
 2. Half keys of the first collection that no other class has are dropped
    before the tables are formed; that loses no pair.
-3. Buckets are linked by :func:`linking.linked_groups`; candidates are
-   verified on the full sets, which are read again for just those classes.
+3. The full sets of just the classes that share a table are read again.
+   Classes too much of whose set no other candidate has can have no link and
+   go (:func:`overlap_bound`); the bound is exact.
+4. Buckets are linked by :func:`linking.linked_groups`; candidates are
+   verified on the full sets.
 
 Defined cases: a null or empty text, or one without words, has an empty set,
 is linked with nothing and stays; rows with a null id take part, but never
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,12 +104,45 @@ SKETCH = [field("n_shingles", LONG), field("set_hash", LONG), field("left", LONG
 
 
 def tensored_entries(classes: DataFrame) -> DataFrame:
-    """Table entries (key, id) of classes (id, left, right)."""
+    """Table entries (key, t, id) of classes (id, left, right)."""
     half = classes.select("id", "right", F.posexplode("left").alias("i", "l"))
     half = half.withColumn("half", F.xxhash64("i", "l"))
     met = half.groupBy("half").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("half")
-    both = half.join(met, "half").select("id", "half", F.posexplode("right").alias("j", "r"))
-    return both.select(F.xxhash64("half", "j", "r").alias("key"), "id")
+    both = half.join(met, "half").select("id", "i", "half", F.posexplode("right").alias("j", "r"))
+    return both.select(F.xxhash64("half", "j", "r").alias("key"), (F.col("i") * HALVES + F.col("j")).cast("int").alias("t"), "id")
+
+
+def first_shared_table() -> Column:
+    """Whether table ``t`` is the first that both sides' half keys (``xa``, ``xb``) share."""
+    out = F.lit(True)
+    for side, index in (("left", F.floor(F.col("t") / HALVES)), ("right", F.col("t") % HALVES)):
+        for k in range(HALVES - 1):
+            out = out & ((index <= k) | (F.col(f"xa.{side}")[k] != F.col(f"xb.{side}")[k]))
+    return out
+
+
+def overlap_bound(live: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The classes that can have a link at all: id, rank, w (size n, core c), x.
+
+    ``c`` counts the shingles that some other candidate class has too.  An
+    intersection is no larger than either core, so a pair needs
+    ``(100 + percent) * min(c) >= percent * (n + n')``, and a class needs that
+    with the smallest set it shares a bucket with.  Classes with a large core
+    share rank first: the text that others were copied from.
+    """
+    alone = sets.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("y")) \
+                .where("id = y").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    sized = sets.select("id", F.size("hashes").alias("n")).join(alone, "id", "left") \
+                .select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
+    met = live.join(sized, "id")
+    smallest = met.groupBy("key").agg(F.min("n").alias("least"))
+    least = met.join(smallest, "key").groupBy("id").agg(F.min("least").alias("least"))
+    partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    nodes = sized.join(least, "id").where(F.lit(100 + percent) * F.col("c") >= F.lit(percent) * (F.col("n") + partner))
+    share = F.floor(F.col("c") / F.col("n") * (1 << 20)).cast("long")
+    rank = F.shiftleft(share, 42) + F.shiftrightunsigned(F.col("id"), 22)
+    return nodes.join(classes.select("id", "left", "right"), "id").select(
+        "id", rank.alias("rank"), F.struct("n", "c").alias("w"), F.struct("left", "right").alias("x")).checkpoint()
 
 
 def _sets(docs: DataFrame, id_col: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -132,9 +168,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text).alias("key"), F.col(text).alias("text"))
     sketches = map_text(slim, "text", ["id", "key"], SKETCH, lambda: sketch_slab).checkpoint()
     classes = sketches.where("n_shingles > 0").groupBy(F.col("set_hash")).agg(
-        F.min("id").alias("least"), F.min("key").alias("key"), F.any_value("n_shingles").alias("w"),
+        F.min("id").alias("least"), F.min("key").alias("key"),
         F.any_value("left").alias("left"), F.any_value("right").alias("right")).withColumnRenamed("set_hash", "id").checkpoint()
-    live = shared_buckets(tensored_entries(classes), classes.select("id", "w"))
+    live = shared_buckets(tensored_entries(classes))
     sets = _sets(docs, id_col, text, live.select("id").distinct().join(classes.select("id", "key"), "id")).checkpoint()
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -145,9 +181,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         both = pairs.join(side, "b").join(hub, "a").select("a", "b", common.alias("c"), (F.size("ha") + F.size("hb")).alias("s"))
         return both.where(F.lit(100) * F.col("c") >= F.lit(percent) * (F.col("s") - F.col("c")))
 
-    # No pair can reach the similarity if one set is too small for the other.
-    plausible = F.lit(100) * F.least("wa", "wb") >= F.lit(percent) * F.greatest("wa", "wb")
-    groups, _ = linked_groups(live, verify, plausible)
+    # No intersection is larger than the smaller set or the smaller core.
+    most = F.least("wa.c", "wb.c")
+    plausible = F.lit(100 + percent) * most >= F.lit(percent) * (F.col("wa.n") + F.col("wb.n"))
+    nodes = overlap_bound(live, classes, sets, percent)
+    groups = linked_groups(live, nodes, verify, plausible, first_shared_table())
     named = classes.select("id", "least").join(groups, "id", "left").select("id", "least", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = named.join(least, "component").select(F.col("id").alias("set_hash"), "component_id").checkpoint()
