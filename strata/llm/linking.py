@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Buckets of at most this many members are compared in full after the first wave.
-SMALL_BUCKET = 64
-#: Centres of larger buckets in the second wave; four times as many in each later one.
-CENTRES = 16
+SMALL_BUCKET = 128
+#: Centres of larger buckets in the second wave; eight times as many in each later one.
+CENTRES = 128
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -90,16 +90,10 @@ def linked_groups(live: DataFrame, nodes: DataFrame, verify: Callable[[DataFrame
     live = live.join(top, "key").withColumn("hub", F.col("rank") == F.col("top")).drop("top").checkpoint()
     hubs = live.where("hub").select("key", F.col("id").alias("a"), F.col("w").alias("wa"))
     pairs = live.where("not hub").select("key", F.col("id").alias("b"), F.col("w").alias("wb")).join(hubs, "key").where(plausible)
-    failed = groups = None
-    wave = 0
+    groups, wave = None, 0
     while True:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if failed is not None:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        pairs = pairs.checkpoint()
         good = verify(pairs).select("a", "b").checkpoint()
-        bad = pairs.join(good, ["a", "b"], "left_anti").checkpoint()
-        failed = bad if failed is None else failed.union(bad)
         groups = components(good) if groups is None else _joined_up(groups, good)
         # A centre was compared with its bucket and leaves it; buckets within one group are done.
         rest = live.where("not hub").select("key", "t", "id", "w").join(groups, "id", "left") \
@@ -107,7 +101,7 @@ def linked_groups(live: DataFrame, nodes: DataFrame, verify: Callable[[DataFrame
         open_ = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("g0"), F.max("group").alias("g1")) \
                     .where("g0 <> g1").select("key", "n")
         wave += 1
-        share = F.when(F.col("n") <= SMALL_BUCKET, F.lit(1)).otherwise(F.ceil(F.col("n") / F.lit(CENTRES * 4 ** (wave - 1))))
+        share = F.when(F.col("n") <= SMALL_BUCKET, F.lit(1)).otherwise(F.ceil(F.col("n") / F.lit(CENTRES * 8 ** (wave - 1))))
         live = rest.join(open_, "key").withColumn("hub", F.pmod(F.xxhash64("id", F.lit(wave)), share) == 0).checkpoint()
         # Shuffle files of the waves behind us go once nothing refers to them.
         live.sparkSession.sparkContext._jvm.System.gc()
