@@ -43,6 +43,8 @@ from .linking import linked_groups, shared_buckets
 SHINGLE = 5
 HALVES, ROWS = 8, 2
 PERCENT = 85
+#: What the stage of the pipeline links; a pair there shares a table with probability 0.9994.
+STAGE_PERCENT = 80
 #: Sides up to this many rows of fixed size are broadcast.
 MAX_BROADCAST_ROWS = 500_000
 
@@ -204,8 +206,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one with the smallest id."""
-    return near_duplicates(docs).where("kept").select(*docs.columns)
+    """The stage of the pipeline: one document of each group of similarity 0.8 or more, the one with the smallest id."""
+    return near_duplicates(docs, percent=STAGE_PERCENT).where("kept").select(*docs.columns)
 
 
 def op3_minhash(spark, sf_dir: str) -> DataFrame:

@@ -62,3 +62,14 @@ def test_registered():
     assert "pipeline" in names
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
     assert os.path.exists(C.__file__)
+
+
+def test_near_dedup_from_similarity_80(spark):
+    words = prose(random.Random(31), 104).split(" ")
+    grams = lambda w: {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    edited = [*words[:50], "Edited", *words[51:85], "Changed", *words[86:]]
+    a, b = grams(words), grams(edited)
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    other = prose(random.Random(32), 104)
+    docs = frame(spark, [(1, " ".join(words)), (2, " ".join(edited)), (3, other)])
+    assert sorted(r.doc_id for r in C.near_dedup(spark, docs, "").collect()) == [1, 3]
