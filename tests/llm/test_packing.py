@@ -93,3 +93,16 @@ def test_repeated_rows_and_empty_table(spark):
     out = P.packed_documents(frame(spark, [(1, "x y")] * 5 + [(None, None)]), ["doc_id"], keep_ids=False).collect()
     assert len(out) == 6 and len({(r.sequence_id, r.offset) for r in out}) == 6
     assert P.packed_documents(frame(spark, [(1, "x")]).limit(0), ["doc_id"]).count() == 0
+
+
+def test_added_tokens_are_the_tokenizers_ids(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "", "é\u3000 <|endoftext|>\n\n<|endoftext|>  q", "<|endoftext", "|>plain", None,
+             "  <|endoftext|>  ", "no token here"]
+    plain = Tokenizer.from_file(P.tokenizer_path("byte_bpe_50k.json"))
+    expected = [[*plain.encode(t or "", add_special_tokens=False).ids, P.END_ID] for t in texts]
+    assert expected[0] == [64, 220, 50256, 275, P.END_ID]
+    assert slab_ids(texts) == expected
+    out = {r.doc_id: r.ids for r in P.packed_documents(frame(spark, list(enumerate(texts))), ["doc_id"]).collect()}
+    assert out == dict(enumerate(expected))
