@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .decontaminate import OP8_SQL, op8_decontamination
+from .exact import OP13_SQL, op13_digest_index
 from .lines import op4_fuzzy_lines
+from .merkle import OP12_SQL, op12_merkle_manifest
 from .neardup import op3_minhash
 from .packing import op5_packing
 from .pii import op10_semi_crf_pii
@@ -24,9 +26,13 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_semi_crf_pii": op10_semi_crf_pii,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_digest_index": op13_digest_index,
 }
 
 ORACLE_SQL = {
     "op7_url_filter": OP7_SQL,
     "op8_decontamination": OP8_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_digest_index": OP13_SQL,
 }
