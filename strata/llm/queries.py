@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op11_token_alignment
 from .decontaminate import OP8_SQL, op8_decontamination
 from .exact import OP13_SQL, op13_digest_index
 from .lines import op4_fuzzy_lines
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_semi_crf_pii": op10_semi_crf_pii,
+    "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_digest_index": op13_digest_index,
 }
