@@ -12,6 +12,7 @@ of words meet with probability about 2**-64 per pair.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -25,6 +26,8 @@ from pyspark.sql import types as T
 
 SLAB_BYTES = 2 << 20
 TEXT = "__llm_text"
+#: What an Arrow batch may hold unless the session says otherwise; Spark's own bound is eight times as much.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -196,18 +199,25 @@ def map_text(df: DataFrame, text: str, carry: list[str], fields: list[T.StructFi
     ``make()`` is called once per task and gives the function; it takes a
     :class:`Slab` and returns one array per field, a value per text.  With
     ``explode`` it returns first the text index of each output row.  Columns
-    in ``carry`` go along; those named like a field are replaced by it.
+    in ``carry`` go along; those named like a field are replaced by it.  The
+    text itself goes to Python once, carried or not, and batches are bounded
+    by bytes.
     """
     names = [f.name for f in fields]
     carry = [c for c in carry if c not in names]
     schema = T.StructType([df.schema[c] for c in carry] + fields)
+    conf = df.sparkSession.conf
+    if not df.sparkSession.sparkContext.getConf().contains(BATCH_CONF) and int(re.sub("[bB]$", "", conf.get(BATCH_CONF))) > BATCH_BYTES:
+        conf.set(BATCH_CONF, str(BATCH_BYTES))
+    once = text in carry and isinstance(df.schema[text].dataType, T.StringType)
+    at = carry.index(text) if once else len(carry)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
         kinds = [to_arrow_type(f.dataType) for f in fields]
         fn = make()
         for batch in batches:
-            for lo, hi, slab in text_slabs(batch.column(len(carry))):
+            for lo, hi, slab in text_slabs(batch.column(at)):
                 out = fn(slab)
                 rest = [batch.column(k).slice(lo, hi - lo) for k in range(len(carry))]
                 if explode:
@@ -216,7 +226,19 @@ def map_text(df: DataFrame, text: str, carry: list[str], fields: list[T.StructFi
                 new = [o if isinstance(o, pa.Array) else pa.array(o, type=k) for o, k in zip(out, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*rest, *new], names=[*carry, *names])
 
-    return df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias(TEXT)).mapInArrow(run, schema)
+    sent = [F.col(f"`{c}`") for c in carry] + ([] if once else [F.col(f"`{text}`").cast("string").alias(TEXT)])
+    return df.select(*sent).mapInArrow(run, schema)
+
+
+def own_columns(docs: DataFrame, judge: Callable[[DataFrame, dict[str, str]], DataFrame]) -> DataFrame:
+    """What ``judge`` leaves of ``docs``, with exactly the columns of ``docs``.
+
+    ``judge`` gets the table under private column names, and where each name
+    went, so a column that is named like a result of its own passes untouched.
+    """
+    private = {c: f"__own{k}" for k, c in enumerate(docs.columns)}
+    out = judge(docs.toDF(*private.values()), private)
+    return out.select(*[F.col(hidden).alias(c) for c, hidden in private.items()])
 
 
 def field(name: str, kind: T.DataType) -> T.StructField:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .arrays import own_columns
 
 WINDOW = 13
 #: A side is broadcast up to so many rows and bytes.
@@ -131,7 +132,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated."""
-    return decontaminate(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
+    return own_columns(docs, lambda own, at: decontaminate(own, benchmark, at["doc_id"], at["text"]).where(~F.col("contaminated")))
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

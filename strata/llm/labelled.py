@@ -42,11 +42,13 @@ def sketch_slab(slab: Slab) -> list[np.ndarray]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """Texts of the sampled ids (id, text, y), one of each set of near copies; checkpointed.
+    """Texts of the sampled ids (id, text, y), of near copies of a class the one with the least id; checkpointed.
 
-    The ids are at most ``2 * per_class``, so they are broadcast.
+    A text and a copy of it of the other class both stay: what tells them
+    apart is what there is to learn.  The ids are at most ``2 * per_class``, so they are broadcast.
     """
     ids = labelled_ids(labels, label, per_class, id_col)
     rows = docs.select(F.col(id_col), F.col(text).alias("text")).join(F.broadcast(ids), id_col)
     rows = map_text(rows, "text", [id_col, "text", "y"], [field("__sketch", LONG)], lambda: sketch_slab)
-    return rows.orderBy(id_col).dropDuplicates(["__sketch"]).drop("__sketch").checkpoint()
+    least = F.min_by(F.struct(id_col, "text"), F.struct(id_col, "text")).alias("one")
+    return rows.groupBy("__sketch", "y").agg(least).select(f"one.{id_col}", "one.text", "y").checkpoint()

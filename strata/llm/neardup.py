@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .arrays import LONG, SPACE_WORD, Slab, doc_of, field, gram_hashes, map_text, mix64
+from .arrays import LONG, SPACE_WORD, Slab, doc_of, field, gram_hashes, map_text, mix64, own_columns
 from .linking import linked_groups, shared_buckets
 
 SHINGLE = 5
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The stage of the pipeline: one document of each group of similarity 0.8 or more, the one with the smallest id."""
-    return near_duplicates(docs, percent=STAGE_PERCENT).where("kept").select(*docs.columns)
+    return own_columns(docs, lambda own, at: near_duplicates(own, at["doc_id"], at["text"], percent=STAGE_PERCENT).where("kept"))
 
 
 def op3_minhash(spark, sf_dir: str) -> DataFrame:

@@ -17,8 +17,13 @@ rewritten forms, by maximum likelihood with the forward-backward recursions.
 Only text near a digit, an at sign or a written-out one can hold an entity;
 the rest is skipped by a byte scan.
 
+Bounds of the method: an added span has at most ``MAX_TOKENS`` tokens and
+``MAX_CHARS`` characters (base spans have no bound), which is what makes the
+programme linear; training takes at most ``TRAIN_WINDOWS`` windows of at most
+``WINDOW_CHARS`` characters.
+
 Defined cases: null and empty texts have no spans; texts of any length are
-searched whole; repeated rows get equal spans; without training windows no
+searched whole, in time linear in their length; repeated rows get equal spans; without training windows no
 spans are added; empty tables give empty results; columns named like a
 result are replaced.
 """
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +48,7 @@ TRAIN_WINDOWS = 900
 MAX_TOKENS = 32
 MAX_CHARS = 96
 CONTEXT = 30
+WINDOW_CHARS = 600
 
 # The base patterns.  The lookbehind and the possessive
 # quantifiers change no match; they keep long digit runs linear.
@@ -67,7 +74,7 @@ def digits_of(s: str) -> str:
 
 
 def octets(s: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in re.findall(r"[0-9]+", s))
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in re.findall(r"[0-9]+", s)))
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -140,11 +147,11 @@ def segments(text: str) -> tuple[int, list[tuple[int, int, str, np.ndarray, int,
             if not INTEREST.search(s):
                 continue
             found += [(i, j, kind, a, b) for kind in KINDS if possible(kind, s)]
-    out = []
-    for i, j, kind, a, b in found:
+    # Candidates come by their start: what ends farthest among those that start before, and among those that start there.
+    out, held = [], _held(found)
+    for (i, j, kind, a, b), inner in zip(found, held, strict=True):
         s, before, after = text[a:b], text[max(0, a - 1): a], text[b: b + 1]
         lead = text[max(0, a - 20): a].lower()
-        inner = any(k == kind and (p <= i and j <= q) and (p, q) != (i, j) for p, q, k, _, _ in found)
         x = [1, s[0] == "+", "(" in s, " " in s, "-" in s, "." in s, "@" in s, "(at)" in s or "[at]" in s,
              len(digits_of(s)) / 16, bool(before) and (before.isalnum() or before in "._%+-@="), bool(after) and (after.isalnum() or after in "@_=-"),
              not before or before.isspace(), not after or after.isspace() or after in ".,;:!?)", (j - i) / MAX_TOKENS,
@@ -154,6 +161,21 @@ def segments(text: str) -> tuple[int, list[tuple[int, int, str, np.ndarray, int,
     return n, out
 
 
+def _held(found: list[tuple]) -> list[bool]:
+    """Whether another candidate of the same kind holds each; ``found`` ascends by start."""
+    farthest: dict[tuple[int, str], int] = {}
+    for i, j, kind, _, _ in found:
+        farthest[i, kind] = max(j, farthest.get((i, kind), j))
+    before, at, out = dict.fromkeys(KINDS, -1), {}, []
+    for i, j, kind, _, _ in found:
+        start, reach = at.get(kind, (i, -1))
+        if start < i:
+            before[kind] = max(before[kind], reach)
+        at[kind] = (i, farthest[i, kind])
+        out.append(before[kind] >= j or farthest[i, kind] > j)
+    return out
+
+
 def windows(text: str) -> list[tuple[int, int]]:
     """Character ranges that hold all text near a possible entity, grown to white space."""
     out = []
@@ -253,12 +275,23 @@ def train_field(examples: list[tuple[str, list[tuple[str, int, int]]]], steps: i
 
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]], w: np.ndarray) -> list[tuple[str, int, int]]:
     """What the field finds beside the base spans."""
-    taken = sorted(s for spans in base.values() for s in spans)
+    # The base spans as stretches that do not overlap, so that a place is looked up among their ends.
+    starts, ends = [], []
+    for p, q in sorted(s for spans in base.values() for s in spans):
+        if ends and p < ends[-1]:
+            ends[-1] = max(ends[-1], q)
+        else:
+            starts.append(p)
+            ends.append(q)
+
+    def free(p: int, q: int) -> bool:
+        k = bisect_right(ends, p)
+        return k == len(ends) or starts[k] >= q
+
     out = []
     for a, b in windows(text):
         _, segs = found = segments(text[a:b])
-        near = [(p - a, q - a) for p, q in taken if p < b and q > a]
-        segs = [s for s in segs if not any(p < s[5] and s[4] < q for p, q in near)]
+        segs = [s for s in segs if free(a + s[4], a + s[5])]
         if segs:
             scores = [float(w[KINDS.index(s[2])] @ s[3]) for s in segs]
             out += [(segs[k][2], a + segs[k][4], a + segs[k][5]) for k in best_segments(found[0], segs, scores)]
@@ -289,14 +322,15 @@ def training_slab(slab: Slab) -> list:
         base = base_spans(text)
         if not any(base.values()):
             continue
+        ordered = sorted((p, q, kind) for kind, spans in base.items() for p, q in spans)
         for a, b in windows(text):
-            inside = [(kind, p - a, q - a) for kind, spans in base.items() for p, q in spans if a <= p and q <= b]
+            inside = [(kind, p - a, q - a) for p, q, kind in ordered[bisect_left(ordered, (a,)): bisect_left(ordered, (b,))] if q <= b]
             free, last = [], -1
             for s in sorted(inside, key=lambda s: (s[1], -s[2])):
                 if s[1] >= last:
                     free.append(s)
                     last = s[2]
-            if b - a <= 600:
+            if b - a <= WINDOW_CHARS:
                 doc.append(k)
                 text_of.append(text[a:b])
                 spans_of.append(joined(free))
@@ -305,8 +339,10 @@ def training_slab(slab: Slab) -> list:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> np.ndarray:
     """The field's weights, from the base spans of a bounded sample."""
-    some = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.col("text").rlike(r"@|[0-9]{3}"))
-    some = some.orderBy(F.xxhash64("id"), "id").limit(sample)
+    some = docs.select(F.xxhash64(id_col, text).alias("key"), F.col(text).alias("text")).where(F.col("text").rlike(r"@|[0-9]{3}"))
+    # The rows are chosen by hash alone; only the texts of those chosen (``sample`` at most) are moved.
+    chosen = some.select("key").orderBy("key").limit(sample).distinct()
+    some = some.join(F.broadcast(chosen), "key", "left_semi").dropDuplicates(["key"])
     got = map_text(some, "text", [], [field("window", STRING), field("spans", STRING)], lambda: training_slab, explode=True)
     rows = sorted({(r["window"], r["spans"]) for r in got.orderBy(F.xxhash64("window"), "window").limit(TRAIN_WINDOWS).collect()})
     examples = []

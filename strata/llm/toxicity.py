@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import ALNUM_WORD, BINARY, DOUBLE, LONG, Slab, doc_of, field, map_text, mix64
+from .arrays import ALNUM_WORD, BINARY, DOUBLE, LONG, Slab, doc_of, field, map_text, mix64, own_columns
 from .labelled import held_out, labelled_sample
 
 #: Sampled texts of each class, at most.
@@ -177,7 +177,8 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", carry: list
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with a score below the threshold."""
-    return score(docs, train(docs, labels)).where(F.col("score") < threshold).select(*docs.columns)
+    model = train(docs, labels)
+    return own_columns(docs, lambda own, at: score(own, model, at["text"]).where(F.col("score") < threshold))
 
 
 def op2_pu_toxicity(spark, sf_dir: str) -> DataFrame:
