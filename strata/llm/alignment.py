@@ -124,6 +124,12 @@ def jump(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray
         succ = twice
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers end to end, and how many each list has."""
+    n = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n.sum())), n
+
+
 def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The numbers ``first .. first + count - 1`` of each range, end to end."""
     return np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
@@ -141,10 +147,12 @@ class Units:
     def __init__(self, path_a: str, path_b: str):
         self.words = Vocabularies(path_a, path_b)
         self.size_b = len(self.words.bytes_b)
+        self.spelling = np.array([[f"{k}{mark}" for k in range(max(len(self.words.bytes_a), self.size_b))] for mark in ",|;"], dtype=object)
         self.clear()
 
     def clear(self):
-        self.row: dict[int, int] = {}
+        # Hashes of the units in order, and the row of each.
+        self.known, self.known_row = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         # For each unit: valid, A tokens, B tokens, groups, links; its groups as text; its pairs and their times.
         self.facts = np.zeros((0, 5), dtype=np.int64)
         self.text: list[str] = []
@@ -153,26 +161,28 @@ class Units:
     def rows(self, slab: Slab, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The row of each unit, new ones aligned first."""
         keys, at, inverse = np.unique(slab.hashes(starts, ends), return_index=True, return_inverse=True)
-        if len(self.row) + len(keys) > MAX_UNITS and self.row:
+        if len(self.known) + len(keys) > MAX_UNITS:
             self.clear()
-        keys = keys.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.row]
-        if new:
+        place = np.searchsorted(self.known, keys)
+        new = np.ones(len(keys), dtype=bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != keys[inside]
+        if new.any():
             raw, n = slab.buf.tobytes(), len(self.text)
-            self.add([raw[starts[at[k]]: ends[at[k]]] for k in new])
-            self.row.update((keys[k], n + j) for j, k in enumerate(new))
-        return np.fromiter((self.row[h] for h in keys), dtype=np.int64, count=len(keys))[inverse]
+            self.add([raw[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+            self.known, self.known_row = (np.insert(have, place[new], more) for have, more in (
+                (self.known, keys[new]), (self.known_row, np.arange(n, len(self.text)))))
+        return self.known_row[np.searchsorted(self.known, keys)][inverse]
 
     def add(self, units: list[bytes]) -> None:
         words = self.words
         texts = [u.decode("utf-8", "replace") for u in units]
         ids_a, ids_b = words.encode_a(texts), words.encode_b(texts)
-        whole = np.array([b"".join([words.bytes_a[k] for k in a]) == u and b"".join([words.bytes_b[k] for k in b]) == u
-                          for u, a, b in zip(units, ids_a, ids_b, strict=True)], dtype=bool)
-        ids_a = [a if ok else [] for ok, a in zip(whole, ids_a, strict=True)]
-        ids_b = [b if ok else [] for ok, b in zip(whole, ids_b, strict=True)]
-        n_a, n_b = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(x), dtype=np.int64) for x in (ids_a, ids_b))
+        whole = self._whole(units, ids_a, words.bytes_a, words.length_a) & self._whole(units, ids_b, words.bytes_b, words.length_b)
+        if not whole.all():
+            ids_a = [a if ok else [] for ok, a in zip(whole, ids_a, strict=True)]
+            ids_b = [b if ok else [] for ok, b in zip(whole, ids_b, strict=True)]
+        (a, n_a), (b, n_b) = _flat(ids_a), _flat(ids_b)
         label_a, label_b = jump(np.cumsum(words.length_a[a]), np.cumsum(words.length_b[b]))
         # Groups by number, and the unit of each.
         last, group_b = np.unique(label_b, return_inverse=True)
@@ -183,19 +193,36 @@ class Units:
         n_links = np.zeros(len(units), dtype=np.int64)
         np.add.at(n_links, unit, in_a * in_b)
         self.facts = np.concatenate([self.facts, np.stack([whole, n_a, n_b, n_groups, n_links], axis=1)])
-        self._spell(a, b, in_a, in_b, n_groups)
+        self._spell(a, b, group_a, group_b, in_a, in_b, n_a + n_b)
         self._pair(a, b, group_a, group_b, unit, len(units))
 
-    def _spell(self, a, b, in_a, in_b, n_groups) -> None:
-        a, b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        at_a, at_b, spelled = 0, 0, []
-        for x, y in zip(in_a.tolist(), in_b.tolist(), strict=True):
-            spelled.append(f"{a[at_a] if x == 1 else ','.join(a[at_a: at_a + x])}|{b[at_b] if y == 1 else ','.join(b[at_b: at_b + y])}")
-            at_a, at_b = at_a + x, at_b + y
-        k = 0
-        for n in n_groups.tolist():
-            self.text.append(spelled[k] if n == 1 else ";".join(spelled[k: k + n]))
-            k += n
+    @staticmethod
+    def _whole(units: list[bytes], ids: list[list[int]], token: list[bytes], length: np.ndarray) -> np.ndarray:
+        """Whether the tokens give back each unit."""
+        flat, n = _flat(ids)
+        size = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+        ends = np.concatenate([[0], np.cumsum(length[flat])])[np.cumsum(n)]
+        # All at once if they do, else unit by unit.
+        if np.array_equal(ends, np.cumsum(size)) and b"".join([token[k] for k in flat.tolist()]) == b"".join(units):
+            return np.ones(len(units), dtype=bool)
+        return np.array([b"".join([token[k] for k in x]) == u for u, x in zip(units, ids, strict=True)], dtype=bool)
+
+    def _spell(self, a, b, group_a, group_b, in_a, in_b, n_tokens) -> None:
+        """Each unit's groups as text: all tokens in order, each with the mark that follows it."""
+        size = len(a) + len(b)
+        at_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
+        at_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
+        marked = np.zeros(size, dtype=np.int64)
+        marked[at_a], marked[at_b] = a, b
+        # 0, 1, 2: more of the same side, then the other side, then the next group.
+        mark = np.zeros(size, dtype=np.int64)
+        mark[at_a[np.cumsum(in_a) - 1]] = 1
+        mark[at_b[np.cumsum(in_b) - 1]] = 2
+        spelled = self.spelling[mark, marked].tolist()
+        hi = 0
+        for n in n_tokens.tolist():
+            lo, hi = hi, hi + n
+            self.text.append("".join(spelled[lo:hi])[:-1])
 
     def _pair(self, a, b, group_a, group_b, unit, n_units) -> None:
         g_a, id_a, times_a = _distinct(group_a, a, len(self.words.bytes_a))
