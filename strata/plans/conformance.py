@@ -92,13 +92,13 @@ def dim_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = lookup_join(n, r, n["n_regionkey"] == r["r_regionkey"], "left").select(
         F.col("n_name").alias("pays"), F.col("r_name").alias("confederation"),
         F.col("n_nationkey").cast("string").alias("code_pays"))
-    return dense_surrogate(d, ["pays"], "id_equipe")
+    return dense_surrogate(d, ["pays"], "id_equipe", id_type="int")
 
 
 def dim_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edition dimension: order years keyed 1..n."""
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("annee")).distinct()
-    return dense_surrogate(years, ["annee"], "id_edition")
+    return dense_surrogate(years, ["annee"], "id_edition", id_type="int")
 
 
 def dim_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ def dim_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = lookup_join(s, n, s["s_nationkey"] == n["n_nationkey"], "left").select(
         F.col("s_name").alias("nom"), F.col("n_name").alias("nationalite"),
         F.col("s_suppkey"))
-    return dense_surrogate(d, ["nom", "s_suppkey"], "id_joueur")
+    return dense_surrogate(d, ["nom", "s_suppkey"], "id_joueur", id_type="int")
 
 
 def trade_fact(spark: SparkSession, sf_dir: str, teams: DataFrame | None = None,
@@ -649,7 +649,7 @@ def dim_union(spark, sf_dir):
     from .gold import team_labels
     labels = team_labels([(cn, ["cust_nation", "c_mktsegment", "blank"]), (sn, ["supp_nation"]),
                           (r, ["r_name"])], "label")
-    return dense_surrogate(labels, ["label"], "id_label")
+    return dense_surrogate(labels, ["label"], "id_label", id_type="int")
 
 
 @query("dim_latest_attr", """
@@ -707,17 +707,17 @@ def dim_antijoin(spark, sf_dir):
     shift = F.when(F.col("event_type") == "signup", F.lit(100000)).otherwise(F.lit(0))
     cand = e.select(F.concat(F.lit("Customer#"),
                              F.lpad((F.col("user_id") + shift).cast("string"), 9, "0")).alias("nom"))
-    return dense_surrogate(append_missing(known, cand, "nom"), ["nom"], "id_joueur")
+    return dense_surrogate(append_missing(known, cand, "nom"), ["nom"], "id_joueur", id_type="int")
 
 
 @query("surrogate_key", """
-SELECT CAST(row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS INTEGER) AS id,
+SELECT row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS id,
        o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS h
 FROM orders
 """)
 def surrogate_key(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.md5(F.col("o_orderkey").cast("string")).alias("h"))
-    return dense_surrogate(o, ["h", "o_orderkey"], "id", small_rows=0)
+    return dense_surrogate(o, ["h", "o_orderkey"], "id")
 
 
 # --------------------------------------------------------------------------
@@ -741,7 +741,7 @@ def fact_match(spark, sf_dir):
     """Trade fact with both team roles and a composite-key dimension."""
     fact = trade_fact(spark, sf_dir)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    dpt = dense_surrogate(part.select("p_type", "p_brand").distinct(), ["p_type", "p_brand"], "id_stade")
+    dpt = dense_surrogate(part.select("p_type", "p_brand").distinct(), ["p_type", "p_brand"], "id_stade", id_type="int")
     f = lookup_join(fact, part, fact["l_partkey"] == part["p_partkey"], "left")
     d = dpt.select("id_stade", F.col("p_type").alias("__t"), F.col("p_brand").alias("__b"))
     f = lookup_join(f, d, (f["p_type"] == d["__t"]) & (f["p_brand"] == d["__b"]), "left")
@@ -753,7 +753,7 @@ def fact_match(spark, sf_dir):
 @query("fact_goal", """
 WITH dj AS (SELECT CAST(row_number() OVER (ORDER BY c_name, c_custkey) AS INTEGER) AS id_joueur, c_custkey
             FROM customer)
-SELECT CAST(row_number() OVER (ORDER BY e.ts, e.event_id) AS INTEGER) AS id_but, e.event_id, dj.id_joueur,
+SELECT row_number() OVER (ORDER BY e.ts, e.event_id) AS id_but, e.event_id, dj.id_joueur,
        CAST(minute(e.ts) AS INTEGER) AS minute,
        CAST(e.event_type = 'purchase' AS BOOLEAN) AS est_penalty,
        CAST(e.event_type = 'error' AS BOOLEAN) AS est_csc
@@ -762,13 +762,13 @@ FROM events e LEFT JOIN dj ON e.user_id = dj.c_custkey
 def fact_goal(spark, sf_dir):
     """Events as goals: player lookup, boolean flags, dense goal id."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    dj = dense_surrogate(c, ["c_name", "c_custkey"], "id_joueur")
+    dj = dense_surrogate(c, ["c_name", "c_custkey"], "id_joueur", id_type="int")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     f = lookup_join(e, dj.select("id_joueur", "c_custkey"), e["user_id"] == F.col("c_custkey"), "left")
     f = f.select("event_id", "ts", "id_joueur", F.minute("ts").cast("int").alias("minute"),
                  (F.col("event_type") == "purchase").cast("boolean").alias("est_penalty"),
                  (F.col("event_type") == "error").cast("boolean").alias("est_csc"))
-    return dense_surrogate(f, ["ts", "event_id"], "id_but", small_rows=0).drop("ts")
+    return dense_surrogate(f, ["ts", "event_id"], "id_but").drop("ts")
 
 
 @query("pk_check", """

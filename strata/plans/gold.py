@@ -2,7 +2,8 @@
 
 Dimensions are keyed 1..n in a declared sort order (:func:`dense_surrogate`);
 facts look dimensions up with checked-broadcast joins; declared types follow
-the served schema (INTEGER → int, BIGINT → bigint).
+the served schema (INTEGER → int, BIGINT → bigint), but the goal fact's key is
+a bigint: facts outgrow 2^31 rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def build_dim_edition(editions: DataFrame) -> DataFrame:
         F.col("attendance_avg").cast("int").alias("affluence_moyenne"),
         F.col("matches").cast("int").alias("nb_matchs"),
     )
-    return dense_surrogate(dim, ["annee", "pays_hote", "champion"], "id_edition")
+    return dense_surrogate(dim, ["annee", "pays_hote", "champion"], "id_edition", id_type="int")
 
 
 def team_labels(sources: list[tuple[DataFrame, list[str]]], name: str = "pays") -> DataFrame:
@@ -50,7 +51,7 @@ def build_dim_equipe(matches: DataFrame, goals: DataFrame, editions: DataFrame,
                              ["confederation", "team_code"], ["snapshot_date", "rank"])
     dim = lookup_join(names, latest.withColumnRenamed("team", "pays"), "pays", "left", check="adaptive")
     dim = dim.select("pays", "confederation", F.col("team_code").alias("code_pays"))
-    return dense_surrogate(dim, ["pays"], "id_equipe")
+    return dense_surrogate(dim, ["pays"], "id_equipe", id_type="int")
 
 
 def build_dim_stade(matches: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def build_dim_stade(matches: DataFrame) -> DataFrame:
     first = keep_first(st, ["venue_name", "venue_city"], ["match_date", "match_key", "host"])
     dim = first.select(F.col("venue_name").alias("nom_stade"), F.col("venue_city").alias("ville"),
                        F.col("host").alias("pays_hote"))
-    return dense_surrogate(dim, ["nom_stade", "ville"], "id_stade")
+    return dense_surrogate(dim, ["nom_stade", "ville"], "id_stade", id_type="int")
 
 
 def build_dim_joueur(player_stats: DataFrame | None, goals: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def build_dim_joueur(player_stats: DataFrame | None, goals: DataFrame) -> DataFr
             "nom", F.lit(None).cast("string").alias("poste"),
             F.lit(None).cast("string").alias("nationalite"))
     dim = append_missing(known, scorers, "nom")
-    return dense_surrogate(dim, ["nom"], "id_joueur")
+    return dense_surrogate(dim, ["nom"], "id_joueur", id_type="int")
 
 
 def build_fait_match(matches: DataFrame, dim_edition: DataFrame, dim_equipe: DataFrame,
@@ -129,7 +130,7 @@ def build_fait_but(goals: DataFrame, dim_joueur: DataFrame, dim_equipe: DataFram
         F.coalesce(F.col("is_own_goal"), F.lit(False)).alias("est_csc"),
         "source_ordinal", "position",
     )
-    return dense_surrogate(f, goal_order("id_match", "minute_absolue"), "id_but", small_rows=0) \
+    return dense_surrogate(f, goal_order("id_match", "minute_absolue"), "id_but") \
         .drop("source_ordinal", "position")
 
 

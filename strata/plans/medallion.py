@@ -153,7 +153,7 @@ GOLD_SCHEMAS = {
                   "id_stade int, date_match date, annee int, phase string, score_domicile int, "
                   "score_exterieur int, xg_domicile double, xg_exterieur double, penalty_domicile int, "
                   "penalty_exterieur int, seance_tirs_au_but boolean, affluence bigint",
-    "fait_but": "id_but int, id_match string, id_joueur int, id_equipe int, minute int, "
+    "fait_but": "id_but bigint, id_match string, id_joueur int, id_equipe int, minute int, "
                 "temps_additionnel int, minute_absolue int, periode string, type_but string, "
                 "est_penalty boolean, est_csc boolean",
     "mart_classement_buteurs": "rang bigint, id_joueur int, nom string, nationalite string, "

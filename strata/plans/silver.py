@@ -128,8 +128,7 @@ GOAL_COLUMNS = ["match_key", "year", "match_date", "team", "opponent", "side", "
 # Order of goals inside the silver table and of ``id_but`` in gold: by match,
 # then minute (nulls last), then the packed column and the position in it.
 def goal_order(match_key: str = "match_key", minute_absolute: str = "minute_absolute"):
-    return [F.col(match_key).asc_nulls_last(), F.col(minute_absolute).asc_nulls_last(),
-            F.col("source_ordinal").asc(), F.col("position").asc()]
+    return [match_key, minute_absolute, "source_ordinal", "position"]
 
 
 def transform_goals(df: DataFrame, mapping=None, keep_order_columns: bool = False) -> DataFrame:

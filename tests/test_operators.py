@@ -8,10 +8,10 @@ from strata.operators import (append_missing, assert_constraints, ConstraintViol
                               pk_violations, role_union, sequential_rank, stack_columns, unpivot_tagged)
 
 
-@pytest.mark.parametrize("small_rows", [0, 100_000])
-def test_dense_surrogate_is_dense_and_ordered(spark, small_rows):
+@pytest.mark.parametrize("part_rows", [300, 100_000])
+def test_dense_surrogate_is_dense_and_ordered(spark, part_rows):
     df = spark.range(0, 5000).select(F.md5(F.col("id").cast("string")).alias("h"), "id").repartition(7)
-    out = dense_surrogate(df, ["h"], "k", small_rows=small_rows).collect()
+    out = dense_surrogate(df, ["h"], "k", part_rows=part_rows).collect()
     ks = sorted(r.k for r in out)
     assert ks == list(range(1, 5001))
     by_k = [r.h for r in sorted(out, key=lambda r: r.k)]
@@ -24,7 +24,7 @@ def test_dense_surrogate_independent_of_shuffle_partitions(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
         df = spark.range(0, 2000).select((F.col("id") % 37).alias("g"), "id")
-        got = {(r.g, r.id): r.k for r in dense_surrogate(df, ["g", "id"], "k", small_rows=0).collect()}
+        got = {(r.g, r.id): r.k for r in dense_surrogate(df, ["g", "id"], "k", part_rows=100).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     expected = {key: i + 1 for i, key in enumerate(sorted(got))}
@@ -34,21 +34,21 @@ def test_dense_surrogate_independent_of_shuffle_partitions(spark, parts):
 def test_dense_surrogate_with_hot_leading_value(spark):
     # a third of the rows share the leading key; the full key keeps them splittable
     df = spark.range(0, 3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("g"), "id")
-    got = sorted((r.g, r.id, r.k) for r in dense_surrogate(df, ["g", "id"], "k", small_rows=0).collect())
+    got = sorted((r.g, r.id, r.k) for r in dense_surrogate(df, ["g", "id"], "k", part_rows=100).collect())
     assert [k for _, _, k in got] == list(range(1, 3001))
 
 
-@pytest.mark.parametrize("small_rows", [0, 10])
-def test_sequential_rank_breaks_ties_by_id(spark, small_rows):
+@pytest.mark.parametrize("part_rows", [1, 10])
+def test_sequential_rank_breaks_ties_by_id(spark, part_rows):
     df = spark.createDataFrame([(1, 5), (2, 7), (3, 5), (4, 9)], "id int, n int")
-    got = {r.id: r.rang for r in sequential_rank(df, "n", ["id"], "rang", small_rows).collect()}
+    got = {r.id: r.rang for r in sequential_rank(df, "n", ["id"], "rang", part_rows).collect()}
     assert got == {4: 1, 2: 2, 1: 3, 3: 4}
 
 
-@pytest.mark.parametrize("small_rows", [0, 10])
-def test_nulls_sort_last(spark, small_rows):
+@pytest.mark.parametrize("part_rows", [1, 10])
+def test_nulls_sort_last(spark, part_rows):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "x string")
-    got = {r.x: r.k for r in dense_surrogate(df, ["x"], "k", small_rows=small_rows).collect()}
+    got = {r.x: r.k for r in dense_surrogate(df, ["x"], "k", part_rows=part_rows).collect()}
     assert got == {"a": 1, "b": 2, None: 3}
 
 
@@ -106,12 +106,51 @@ def test_fits_broadcast(spark):
 
 def test_distributed_path_plan_has_no_single_partition_sort(spark):
     df = spark.range(0, 3000).select(F.md5(F.col("id").cast("string")).alias("h"))
-    out = dense_surrogate(df, ["h"], "k", small_rows=0)
+    out = dense_surrogate(df, ["h"], "k", part_rows=200)
     p = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in p or "BroadcastHashJoin" in p
+    assert "BroadcastExchange" in p and "SinglePartition" not in p and "rangepartitioning" not in p
     assert sorted(r.k for r in out.collect()) == list(range(1, 3001))
 
 
+KINDS = {
+    "long": [None, 0, 1, -1, 2 ** 62, 2 ** 62 + 1, -2 ** 63, 2 ** 63 - 1, 5, 6],
+    "double": [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e-320, 2e-320, 1e308, -1e308, 1.5, 1.25],
+    "string": [None, "", "a", "a\0", "ab", "Customer#000000001", "Customer#000000002", "Customer#0000000010", "é", "\U0001f600", "z" * 40, "z" * 41],
+    "date": [None, "1969-12-31", "1970-01-01", "2024-02-29", "0001-01-01"],
+    "timestamp_ntz": [None, "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2024-02-29 12:00:00.000001", "2024-02-29 12:00:00.000002"],
+    "boolean": [None, True, False],
+    "decimal(20,3)": [None, "1.001", "1.002", "-5", "99999999999999999.999"],
+}
+
+
+@pytest.mark.parametrize("kind,down", [(k, d) for k in KINDS for d in (False, True) if d or k in ("double", "string")])
+def test_dense_keys_equal_one_global_window(spark, kind, down):
+    """Hot values, ties, nulls and odd values of each type, against row_number() over everything."""
+    from pyspark.sql import Window
+    from strata.operators.surrogate import _sort_column, descending
+    values = KINDS[kind]
+    df = spark.createDataFrame([(k, None if v is None else str(v) if kind not in ("string",) else v)
+                                for k, v in enumerate(values)], "n int, x string")
+    df = df.select(F.col("x").cast(kind).alias("x"), "n").crossJoin(spark.range(30).toDF("m")).where("n = 2 or m < 3").coalesce(2).withColumn("y", F.col("m") % 3)
+    key = descending("x") if down else "x"
+    got = dense_surrogate(df, [key, "y"], "k", part_rows=9).collect()
+    full = [_sort_column(key), *[F.col(c).asc_nulls_last() for c in ("y", "n", "m")]]
+    # Rows of the same x and y are told apart by the other columns, in the table's order.
+    want = df.withColumn("k", F.row_number().over(Window.orderBy(*full))).collect()
+    show = lambda rows: sorted((r.k, str(r.x), r.y, r.n, r.m) for r in rows)
+    assert show(got) == show(want)
+
+
+def test_dense_keys_of_identical_rows_and_many_digits(spark):
+    same = spark.range(0, 700).select(F.lit("one and the same text, rather long").alias("s"))
+    assert sorted(r.k for r in dense_surrogate(same, ["s"], "k", part_rows=50).collect()) == list(range(1, 701))
+    texts = spark.range(0, 900).select(F.concat(F.lit("p" * 100), (F.col("id") % 300).cast("string")).alias("s"), "id")
+    got = dense_surrogate(texts, ["s"], "k", part_rows=20).collect()
+    assert [r.s for r in sorted(got, key=lambda r: r.k)] == sorted(r.s for r in got)
+    assert got[0].k is not None and dict(dense_surrogate(texts, ["s"], "k").dtypes)["k"] == "bigint"
+    assert dense_surrogate(texts.limit(0), ["s"], "k").count() == 0
+
+
 def test_first_and_last_with_null_ordinals_and_ties(spark):
     rows = [("a", None, "undated"), ("a", 2, "later"), ("a", 1, "z"), ("a", 1, "y"), ("b", None, "only")]
     df = spark.createDataFrame(rows, "k string, d int, v string").repartition(4)

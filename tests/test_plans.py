@@ -52,12 +52,16 @@ def test_team_record_broadcasts_dimensions_and_no_fact_in_one_task(spark, sf01):
 
 
 def test_dense_keys_do_not_sort_in_one_task(spark, sf01):
-    df = C.surrogate_key(spark, sf01)
-    full = df._jdf.queryExecution().toString()
-    # Range-partitioned sort before the checkpoint; the result plan only joins a
-    # broadcast of per-partition offsets.
-    assert "BroadcastHashJoin" in plan(df) or "BroadcastExchange" in plan(df)
-    assert "Window" not in full.split("== Physical Plan ==")[-1].split("BroadcastExchange")[0]
+    from strata.operators import dense_surrogate
+    o = C.table(spark, sf01, "orders").select("o_orderkey", "o_orderstatus")
+    df = dense_surrogate(o, ["o_orderstatus", "o_orderkey"], "id", part_rows=1000)
+    # Buckets of one window each, told by broadcasts of one row a bucket; no sampled ranges, no global window.
+    p = plan(df)
+    assert "BroadcastHashJoin" in p and "SinglePartition" not in p and "rangepartitioning" not in p
+    assert "InMemory" not in p
+    rows = df.orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(1, len(rows) + 1))
+    assert [(r.o_orderstatus, r.o_orderkey) for r in rows] == sorted((r.o_orderstatus, r.o_orderkey) for r in rows)
 
 
 def test_share_uses_scalar_subquery_not_cross_join(spark, sf01):
