@@ -828,6 +828,33 @@ def fk_check(spark, sf_dir):
     return constraint_report({}, fks)
 
 
+@query("key_report", """
+WITH li AS (
+  SELECT CASE WHEN l_orderkey % 97 = 0 THEN 1 ELSE l_orderkey END AS k1, CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE l_linenumber END AS k2,
+         CASE WHEN l_orderkey % 5 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN -l_suppkey ELSE l_suppkey END AS supp,
+         CASE WHEN l_partkey % 13 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS part, 'o' || CAST(l_orderkey AS VARCHAR) AS ord FROM lineitem
+), od AS (SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS ord FROM orders WHERE o_orderkey % 7 <> 0)
+SELECT 'li.key' AS check_name, 'primary_key' AS kind, count(*) AS violations
+FROM (SELECT k1, k2 FROM li GROUP BY k1, k2 HAVING count(*) > 1 OR k1 IS NULL OR k2 IS NULL)
+UNION ALL SELECT 'li.supp', 'foreign_key', count(*) FROM li WHERE supp IS NOT NULL AND supp NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'li.part', 'foreign_key', count(*) FROM li WHERE part NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'li.ord', 'foreign_key', count(*) FROM li WHERE ord NOT IN (SELECT ord FROM od)
+UNION ALL SELECT 'od.ord', 'primary_key', 0
+""")
+def key_report(spark, sf_dir):
+    """Planted repeats, null keys and orphans of number and text keys, each table in one scan."""
+    k, p = F.col("l_orderkey"), F.col("l_partkey")
+    li = table(spark, sf_dir, "lineitem").select(
+        F.when(k % 97 == 0, F.lit(1)).otherwise(k).alias("k1"), F.when(k % 97 != 0, F.col("l_linenumber")).alias("k2"),
+        F.when(k % 5 != 0, F.when(k % 31 == 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey"))).alias("supp"),
+        F.when(p % 13 == 0, p + 1_000_000_000).otherwise(p).alias("part"), F.concat(F.lit("o"), k.cast("string")).alias("ord"))
+    od = table(spark, sf_dir, "orders").where("o_orderkey % 7 <> 0").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("ord"))
+    return constraint_report(
+        {"li.key": (li, ["k1", "k2"]), "od.ord": (od, ["ord"])},
+        {"li.supp": (li, "supp", table(spark, sf_dir, "supplier"), "s_suppkey"), "li.part": (li, "part", table(spark, sf_dir, "part"), "p_partkey"),
+         "li.ord": (li, "ord", od, "ord")})
+
+
 @query("scorer_rank", _with(_SQL_RANKING, """
 final AS (SELECT * FROM ranking)
 SELECT rang, id_joueur, nom, nationalite, nb_buts, nb_penaltys FROM final
@@ -1141,4 +1168,4 @@ def load_audit(spark, sf_dir):
 
 
 # The queries over the silver jobs and gold builders register themselves.
-from . import layer_queries  # noqa: E402, F401
+from . import layer_queries, source_queries  # noqa: E402, F401

@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from ..operators import assert_constraints
 from ..sources import bronze
-from ..sources.csv import read_multiheader_csv, read_raw_csv, read_snapshots
+from ..sources.csv import read_multiheader_csv, read_raw_csv
 from ..sources.partitions import partition_dates, read_latest
+from ..sources.records import read_csv_files
 from ..sources.sinks import audited_writes, manifest, write_pointer, write_table
 from . import gold, marts, silver
 from .serve import ServedCatalog
@@ -47,16 +48,15 @@ class NoBronzeInput(FileNotFoundError):
 
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date: str,
                write_manifest: bool = True) -> DataFrame:
-    """Land every raw CSV under ``bronze_root``; returns (key, size_bytes, source).
+    """Land every raw CSV under ``bronze_root``; returns (key, size_bytes, source, md5).
 
-    The manifest (object count, total bytes, object list) goes to
+    The manifest (run, time, object count, total bytes, object list) goes to
     ``_manifests/ingest_date=D``.
     """
     uploads = bronze.land(spark, raw_root, bronze_root, ingest_date)
     if write_manifest:
         base = f"{bronze_root.rstrip('/')}/_manifests/ingest_date={ingest_date}"
-        bronze.upload_manifest(uploads).coalesce(1).write.mode("overwrite").json(f"{base}/summary")
-        uploads.write.mode("overwrite").json(f"{base}/objects")
+        bronze.write_manifest(uploads, base, uuid.uuid4().hex[:12], ingest_date)
     return uploads
 
 
@@ -94,7 +94,7 @@ def silver_tables(spark: SparkSession, inputs: dict, multiline: tuple[str, ...]
     ``multiline`` names the sources whose cells may hold newlines.
     """
     def read(source: str) -> DataFrame:
-        return read_raw_csv(spark, inputs[source], multiline=source in multiline)
+        return read_csv_files(spark, inputs[source]).drop("source_file") if source in multiline else read_raw_csv(spark, inputs[source])
 
     t: dict[str, DataFrame] = {}
     if inputs.get("matches"):
@@ -104,7 +104,7 @@ def silver_tables(spark: SparkSession, inputs: dict, multiline: tuple[str, ...]
     if inputs.get("editions"):
         t["editions"] = silver.transform_editions(read("editions"))
     if inputs.get("fifa_ranking"):
-        t["fifa_ranking"] = silver.transform_fifa_ranking(read_snapshots(spark, inputs["fifa_ranking"]))
+        t["fifa_ranking"] = silver.transform_fifa_ranking(read_csv_files(spark, inputs["fifa_ranking"]))
     if inputs.get("schedule_2026"):
         t["schedule_2026"] = silver.transform_schedule_2026(read("schedule_2026"))
     if inputs.get("fbref_schedule"):

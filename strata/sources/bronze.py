@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import hashlib
 import re
 import uuid
 
@@ -36,8 +36,7 @@ def discover(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
 
 def relative_paths(files: DataFrame, root: str) -> DataFrame:
     """(path, length) listing → path, path relative to ``root``, size_bytes."""
-    base = os.path.abspath(root) if local_path(root) else root.rstrip("/")
-    base = base.split(":", 1)[1] if base.startswith("file:") else base
+    base = local_path(root) or root.rstrip("/")
     rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + re.escape(base.lstrip("/")) + "/?", "")
     return files.select("path", rel.alias("relpath"), F.col("length").alias("size_bytes"))
 
@@ -84,15 +83,17 @@ def _copy_partition(dest_root: str):
                 # Streamed copy: the file never sits whole in a Spark row.  It goes to a name of
                 # its own first, so a failed or doubled task leaves no torn file under the key.
                 part = f"{dpath}.{uuid.uuid4().hex}.part"
+                digest = hashlib.md5(usedforsecurity=False)
                 with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(part) as fout:
                     while True:
                         chunk = fin.read(8 << 20)
                         if not chunk:
                             break
                         fout.write(chunk)
+                        digest.update(chunk)
                 dfs.move(part, dpath)
-                done.append(key)
-            yield pd.DataFrame({"key": done})
+                done.append((key, digest.hexdigest()))
+            yield pd.DataFrame(done, columns=["key", "md5"])
     return run
 
 
@@ -102,13 +103,13 @@ def land(spark: SparkSession, raw_root: str, bronze_root: str, ingest_date: str,
 
     Files are spread over tasks (one row per file, no file content in rows);
     a rerun for the same date overwrites the same keys.  The result lists key,
-    size_bytes and source per file.
+    size_bytes, source and md5 per file.
     """
     return copy_files(landing_plan(discover(spark, raw_root, glob), ingest_date), bronze_root)
 
 
 def copy_files(plan: DataFrame, bronze_root: str) -> DataFrame:
-    """Run the copies of a landing plan; returns (key, size_bytes, source).
+    """Run the copies of a landing plan; returns (key, size_bytes, source, md5 of the bytes copied).
 
     Eager and reliable: the copy job runs exactly once here, and the upload
     list survives executor loss without re-running the copies.
@@ -116,20 +117,50 @@ def copy_files(plan: DataFrame, bronze_root: str) -> DataFrame:
     spark = plan.sparkSession
     n = max(1, min(plan.count(), spark.sparkContext.defaultParallelism))
     copied = plan.repartition(n).select("path", "key").mapInPandas(
-        _copy_partition(bronze_root), "key string")
+        _copy_partition(bronze_root), "key string, md5 string")
     ensure_checkpoint_dir(spark)
-    return plan.join(copied, "key").select("key", "size_bytes", "source").checkpoint(eager=True)
+    return plan.join(copied, "key").select("key", "size_bytes", "source", "md5").checkpoint(eager=True)
 
 
-def upload_manifest(uploads: DataFrame) -> DataFrame:
-    """Ingestion manifest summary: object count and total bytes (one row).
+def upload_manifest(uploads: DataFrame, run_id: str = "", ingest_date: str = "") -> DataFrame:
+    """Ingestion manifest summary: run, date, time, object count and total bytes (one row).
 
     The object list grows with the number of files, so it is not folded into
     this row; it is the ``uploads`` dataset itself, written next to it.
     """
     return uploads.agg(
         F.count(F.lit(1)).alias("object_count"),
-        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"))
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"),
+    ).select(F.lit(run_id).alias("run_id"), F.lit(ingest_date).alias("ingest_date"),
+             F.current_timestamp().cast("string").alias("generated_at"), "*")
+
+
+def write_manifest(uploads: DataFrame, folder: str, run_id: str, ingest_date: str) -> None:
+    """The manifest of a landing: its summary and its objects, as JSON under ``folder``."""
+    upload_manifest(uploads, run_id, ingest_date).coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+    uploads.write.mode("overwrite").json(f"{folder}/objects")
+
+
+def checksums(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """path and md5 of the landed files, streamed in the tasks, to hold against a manifest."""
+    def run(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                local = local_path(path)
+                fs, where = (pafs.LocalFileSystem(), local) if local is not None else pafs.FileSystem.from_uri(store_uri(path))
+                digest = hashlib.md5(usedforsecurity=False)
+                with fs.open_input_stream(where) as stream:
+                    while chunk := stream.read(8 << 20):
+                        digest.update(chunk)
+                out.append((path, digest.hexdigest()))
+            yield pd.DataFrame(out, columns=["path", "md5"])
+
+    files = discover(spark, root, glob).select("path")
+    return files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(run, "path string, md5 string")
 
 
 def read_json_document(spark: SparkSession, path: str) -> DataFrame:

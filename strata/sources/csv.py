@@ -1,4 +1,4 @@
-"""CSV scans: all-string reads, null tokens, multi-level headers, snapshots."""
+"""CSV scans: all-string reads, null tokens, multi-level headers."""
 
 from __future__ import annotations
 
@@ -60,7 +60,8 @@ def read_raw_csv(spark: SparkSession, path, multiline: bool = False,
     """Header CSV as all-string columns with missing-value tokens as null.
 
     No type inference (each job coerces its own columns).  ``multiline`` allows
-    quoted newlines but makes each file a single task, so it is off by default;
+    quoted newlines but makes each file a single task, so it is off by default
+    (:func:`strata.sources.records.read_csv_files` reads such files in splits);
     a row torn by one, or with more cells than the header, is an error.
     ``with_source`` adds ``source_file`` (file name) from the scan metadata.
     """
@@ -72,17 +73,6 @@ def read_raw_csv(spark: SparkSession, path, multiline: bool = False,
     return null_tokens(_checked(df, len(names)))
 
 
-def read_snapshots(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Several snapshot files whose headers differ → one frame, union by name.
-
-    Files are read one at a time (a multi-file CSV read takes its columns from
-    one file and aligns the others by position), then unioned by column name;
-    columns missing from a file are null.
-    """
-    frames = [read_raw_csv(spark, p, with_source=True) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def _header_lines(spark: SparkSession, path: str, n: int) -> list[list[str]]:
     # The first n physical lines of the first file (n is the header depth).
     lines = [r.value for r in spark.read.text(path).limit(n).collect()]

@@ -87,3 +87,12 @@ def test_role_views_read_the_fact_once(spark, sf01):
     df = C.team_record(spark, sf01)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert p.count("lineitem.parquet") == 1
+
+
+def test_key_checks_scan_each_child_once(spark, sf01):
+    p = C.key_report(spark, sf01)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("lineitem.parquet") == 1
+    # Parents of dense whole numbers are broadcast as bitmaps, so the child is shuffled for its text key and its own key alone.
+    assert "bitmap_construct_agg" in p and p.count("BroadcastHashJoin") >= 2
+    fk = C.fk_check(spark, sf01)._jdf.queryExecution().executedPlan().toString()
+    assert all(fk.count(f"{t}.parquet") <= n for t, n in {"lineitem": 1, "orders": 2, "events": 1}.items())

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from fixtures import make_raw_tree
 from strata.sources import bronze
 from strata.sources.bronze import store_uri
-from strata.sources.csv import (multiheader_names, read_multiheader_csv, read_raw_csv, read_snapshots, write_multiheader_csv)
+from strata.sources.csv import multiheader_names, read_multiheader_csv, read_raw_csv, write_multiheader_csv
+from strata.sources.records import read_csv_files as read_snapshots
 from strata.sources.partitions import NoPartitionFound, read_latest
 from strata.sources.sinks import audited_writes, manifest, write_partitioned, write_pointer
 
