@@ -29,11 +29,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources.partitions import hadoop_path
 
 #: Digests that one bucket of a new index should hold, about, and the fewest buckets.
 BUCKET_ROWS = 500_000
@@ -78,11 +78,10 @@ class DigestIndex:
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         """Open the index at ``path``, or make an empty one there of ``buckets`` buckets."""
         self.spark, self.path = spark, path.rstrip("/")
-        try:
+        layout, fs = hadoop_path(spark, f"{self.path}/layout")
+        if fs.exists(layout):
             self.buckets = spark.read.parquet(f"{self.path}/layout").first()["buckets"]
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        else:
             self.buckets = buckets or LEAST_BUCKETS
             spark.range(1).select(F.lit(self.buckets).alias("buckets")).coalesce(1).write.parquet(f"{self.path}/layout")
         # The name belongs to the path, so a second session that opens the path gets the same table.
