@@ -24,7 +24,8 @@ from ..sources import bronze
 from ..sources.csv import read_multiheader_csv, read_raw_csv
 from ..sources.partitions import partition_dates, read_latest
 from ..sources.records import read_csv_files
-from ..sources.sinks import audited_writes, manifest, write_pointer, write_table
+from ..sources.publish import Publication
+from ..sources.sinks import audited_writes, manifest
 from . import gold, marts, silver
 from .serve import ServedCatalog
 
@@ -175,13 +176,11 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, as_of: str |
              run_id: str | None = None) -> dict[str, str]:
     """Build, write, check and publish the gold schema; returns table → path."""
     run_id = run_id or uuid.uuid4().hex[:12]
-    base = f"{gold_root.rstrip('/')}/runs/{run_id}"
-    paths: dict[str, str] = {}
+    run, paths = Publication(spark, gold_root), {}
 
     def publish(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = f"{base}/{name}"
-        write_table(df, paths[name], _schema(name))
-        return spark.read.parquet(paths[name])
+        paths[name] = run.path(run_id, name)
+        return run.write(run_id, name, df, _schema(name))
 
     m = read_silver(spark, silver_root, "matches", as_of)
     g = read_silver(spark, silver_root, "goals", as_of)
@@ -202,7 +201,7 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, as_of: str |
     assert_constraints(gold.gold_constraints(t))
     for name, df in marts.build_marts(t).items():
         publish(name, df)
-    write_pointer(spark, f"{gold_root.rstrip('/')}/current_run", run_id)
+    run.commit(run_id, list(paths))
     return paths
 
 

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import ConstraintViolation, constraint_report
 from ..session import scratch_path
 from ..sources import bronze
 from ..sources.csv import NA_TOKENS
 from ..sources.partitions import hadoop_path
+from ..sources.publish import Publication
 from ..sources.records import read_csv_files
 from .conformance import query, table
 from .medallion import RANKING_PREFIX, resolve_inputs
@@ -116,3 +118,37 @@ def _to_root(spark: SparkSession, folder: str, root: str) -> None:
     for part in fs.listStatus(path):
         if part.getPath().getName().endswith(".txt"):
             fs.rename(part.getPath(), hadoop_path(spark, f"{root}/{part.getPath().getName()}")[0])
+
+
+@query("publish_audit", """
+WITH o AS (SELECT c_nationkey AS nation, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT 'first' AS version, 'orders.key=' || (SELECT CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0) AS refused, 2 AS n_runs,
+       nation, count(*) AS n_orders, CAST(sum(cents) AS BIGINT) AS cents FROM o GROUP BY nation
+UNION ALL
+SELECT 'current', 'orders.key=' || (SELECT CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0), 2,
+       nation, count(*), CAST(sum(cents + 1) AS BIGINT) FROM o GROUP BY nation
+""")
+def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, one refused for repeated keys, one more; the first as of its time and the current one."""
+    run = Publication(spark, scratch_path(spark, "publication"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+
+    def keys(t: dict[str, DataFrame]) -> DataFrame:
+        return constraint_report({"customers.key": (t["customers"], ["c_custkey"]), "orders.key": (t["orders"], ["o_orderkey"])},
+                                 {"orders.customer": (t["orders"], "o_custkey", t["customers"], "c_custkey")})
+
+    run.publish({"customers": customers, "orders": orders}, keys)
+    first, refused = run.run_as_of()["published_at"], ""
+    try:
+        run.publish({"customers": customers, "orders": orders.union(orders.where("o_orderkey % 10 = 0"))}, keys)
+    except ConstraintViolation as e:
+        refused = str(e).rsplit(": ", 1)[1]
+    run.publish({"customers": customers, "orders": orders.withColumn("cents", F.col("cents") + 1)}, keys)
+    versions = []
+    for version, as_of in (("first", first), ("current", None)):
+        rows = run.read("orders", as_of).join(run.read("customers", as_of), F.col("o_custkey") == F.col("c_custkey"))
+        versions.append(rows.groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("n_orders"), F.sum("cents").alias("cents"))
+                        .select(F.lit(version).alias("version"), F.lit(refused).alias("refused"), F.lit(len(run.runs())).alias("n_runs"),
+                                "nation", "n_orders", "cents"))
+    return versions[0].unionByName(versions[1])
