@@ -14,6 +14,7 @@ from ..operators import ConstraintViolation, constraint_report
 from ..session import scratch_path
 from ..sources import bronze
 from ..sources.csv import NA_TOKENS
+from ..sources.documents import flatten, malformed, read_documents
 from ..sources.partitions import hadoop_path
 from ..sources.publish import Publication
 from ..sources.records import read_csv_files
@@ -152,3 +153,28 @@ def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .select(F.lit(version).alias("version"), F.lit(refused).alias("refused"), F.lit(len(run.runs())).alias("n_runs"),
                                 "nation", "n_orders", "cents"))
     return versions[0].unionByName(versions[1])
+
+
+@query("nested_documents", """
+SELECT 'item' AS kind, l_orderkey AS order_key, CASE WHEN l_partkey % 20 = 0 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS qty, l_returnflag AS flag,
+       nullif(concat_ws(',', CASE WHEN l_suppkey % 9 = 0 THEN 'note' END, CASE WHEN l_partkey % 20 = 0 THEN 'qty' END), '') AS rescued, count(*) AS n
+FROM lineitem WHERE l_orderkey % 50 <> 0 GROUP BY ALL
+UNION ALL SELECT 'malformed', NULL, NULL, NULL, NULL, count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey % 50 = 0
+""")
+def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as nested documents, some cut off, some with fields of another type or of no column."""
+    path = scratch_path(spark, "documents")
+    qty = F.when(F.col("l_partkey") % 20 == 0, F.lit('"many"')).otherwise(F.col("l_quantity").cast("long").cast("string"))
+    note = F.when(F.col("l_suppkey") % 9 == 0, F.lit(',"note":{"by":[1,2]}')).otherwise(F.lit(""))
+    item = F.concat(F.lit('{"qty":'), qty, F.lit(',"flag":"'), F.col("l_returnflag"), F.lit('"'), note, F.lit("}"))
+    # An order has a few lines only.
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(item), ",").alias("lines"))
+    text = F.concat(F.lit('{"order":'), F.col("l_orderkey").cast("string"), F.lit(',"lines":['), F.col("lines"),
+                    F.when(F.col("l_orderkey") % 50 == 0, F.lit("")).otherwise(F.lit("]}")))
+    orders.select(text.alias("value")).write.text(path)
+    docs = read_documents(spark, path)
+    items = flatten(docs, "$.lines", {"qty": "long", "flag": "string"}, {"order_key": ("$.order", "long")})
+    names = F.array_join(F.array_sort(F.map_keys("rescued")), ",").alias("rescued")
+    items = items.select(F.lit("item").alias("kind"), "order_key", "qty", "flag", names)
+    items = items.groupBy(*items.columns).agg(F.count(F.lit(1)).alias("n"))
+    return items.unionByName(malformed(docs).agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("malformed")), allowMissingColumns=True)

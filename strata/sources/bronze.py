@@ -181,7 +181,7 @@ def read_country_payload(spark: SparkSession, path: str, schema: str = COUNTRY_S
     The second element of each document is parsed with ``from_json``; a
     payload without countries is an error (shape validation).
     """
-    txt = spark.read.option("wholetext", True).text(path)
+    txt = spark.read.text(path, wholetext=True)
     items = txt.select(F.get_json_object("value", "$[1]").alias("js"))
     rows = (items.where(F.col("js").isNotNull())
                  .select(F.explode(F.from_json("js", schema)).alias("c")).select("c.*"))

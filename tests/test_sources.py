@@ -160,3 +160,8 @@ def test_pointer_is_replaced(spark, tmp_path):
 
 def test_store_scheme():
     assert store_uri("s3a://b/k") == "s3://b/k" and store_uri("/x") == "/x" and store_uri("hdfs://h/x") == "hdfs://h/x"
+
+
+def test_country_payload_over_several_lines(spark, tmp_path):
+    (tmp_path / "c.json").write_text('[{"page": 1},\n [{"id": "FRA",\n   "name": "France"},\n  {"id": "BRA", "name": "Brazil"}]]')
+    assert sorted(r.id for r in bronze.read_country_payload(spark, str(tmp_path / "c.json")).collect()) == ["BRA", "FRA"]
