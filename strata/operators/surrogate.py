@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 #: Rows of a bucket, and how many buckets are worth having: beyond, buckets grow.
-PART_ROWS = 100_000
+PART_ROWS = 1_000_000
 MAX_PARTS = 100_000
 #: Digits whose ranges a round learns beside the one it cuts.
 AHEAD = 3
@@ -124,10 +124,11 @@ class _Sequence:
             return self.start[k + 1]
         return None
 
-    def value(self, digit: Column) -> Column:
+    def value(self, digit: Column, digits: set[int]) -> Column:
+        """The digit of a row that the column ``digit`` names, one of ``digits``: only their columns are looked at."""
         out = F.lit(None).cast("double")
-        for k, c in enumerate(self.columns):
-            out = F.when((digit >= self.start[k]) & (digit < self.start[k + 1]), c.value(digit - self.start[k])).otherwise(out)
+        for k in sorted({self.column(d) for d in digits if d < self.start[-1]}):
+            out = F.when((digit >= self.start[k]) & (digit < self.start[k + 1]), self.columns[k].value(digit - self.start[k])).otherwise(out)
         return out
 
     def down(self, digit: int) -> bool:
@@ -148,14 +149,15 @@ class _Node:
             yield from self.children[cell].leaves()
 
 
-def _ranges(sequence: _Sequence) -> list[Column]:
-    """For each bucket, rows and the ranges of its digit and the next ones."""
+def _ranges(found: DataFrame, sequence: _Sequence, digits: set[int]) -> DataFrame:
+    """For each new bucket, rows and the ranges of its digit and the next ones."""
+    ahead = [sequence.value(F.col(_DIGIT) + k, {d + k for d in digits}).alias(f"__strata_v{k}") for k in range(AHEAD + 1)]
+    found = found.select("__strata_new", _DIGIT, *ahead)
     out = [F.count(F.lit(1)).alias("rows")]
     for k in range(AHEAD + 1):
-        v = sequence.value(F.col(_DIGIT) + k)
-        v = F.when(~F.isnan(v), v)
+        v = F.nanvl(F.col(f"__strata_v{k}"), F.lit(None).cast("double"))
         out += [F.min(v).alias(f"low{k}"), F.max(v).alias(f"high{k}"), F.count(v).alias(f"known{k}")]
-    return out
+    return found.groupBy("__strata_new", _DIGIT).agg(*out)
 
 
 def _settle(node: _Node, row, digit: int, sequence: _Sequence) -> None:
@@ -188,16 +190,17 @@ def _buckets(rows: DataFrame, sequence: _Sequence, root: _Node, part_rows: int)
             plan.append((n.number, n.digit, n.low or 0.0, ((n.high or 0.0) - (n.low or 0.0)) / n.cells, n.cells, base, sequence.down(n.digit)))
             n.base = base
         cut = F.broadcast(spark.createDataFrame(plan, f"{_BUCKET} long, __strata_digit_cut int, __strata_low double, __strata_width double, __strata_cells int, __strata_base long, __strata_down boolean"))
-        v = sequence.value(F.col("__strata_digit_cut"))
+        digits = {n.digit for n in open_}
+        v = F.col("__strata_v")
         inside = F.when(F.col("__strata_width") > 0, F.least(F.col("__strata_cells") - 1, F.floor((v - F.col("__strata_low")) / F.col("__strata_width")))).otherwise(0)
         # Cells in order: NaN of a descending column, values, NaN, nulls.
         cell = F.when(v.isNull(), F.col("__strata_cells") + 2).when(F.isnan(v), F.when(F.col("__strata_down"), 0).otherwise(F.col("__strata_cells") + 1)) \
                 .otherwise(1 + F.greatest(F.lit(0).cast("long"), inside))
-        rows = rows.join(cut, _BUCKET, "left")
+        rows = rows.join(cut, _BUCKET, "left").withColumn("__strata_v", sequence.value(F.col("__strata_digit_cut"), digits))
         new = F.when(F.col("__strata_base").isNotNull(), F.col("__strata_base") + cell).otherwise(F.col(_BUCKET)).cast("long")
         found = rows.where(F.col("__strata_base").isNotNull()).select("*", new.alias("__strata_new"), F.col("__strata_digit_cut").alias(_DIGIT))
-        counted = found.groupBy("__strata_new", _DIGIT).agg(*_ranges(sequence)).collect()
-        rows = rows.withColumn(_BUCKET, new).drop("__strata_digit_cut", "__strata_low", "__strata_width", "__strata_cells", "__strata_base", "__strata_down")
+        counted = _ranges(found, sequence, digits).collect()
+        rows = rows.withColumn(_BUCKET, new).drop("__strata_v", "__strata_digit_cut", "__strata_low", "__strata_width", "__strata_cells", "__strata_base", "__strata_down")
         by_base = sorted(open_, key=lambda n: n.base)
         bases = [n.base for n in by_base]
         open_ = []
