@@ -29,7 +29,8 @@ from __future__ import annotations
 from bisect import bisect_right
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,8 @@ MAX_PARTS = 100_000
 AHEAD = 3
 #: Cells for each bucket that the counts call for, and at most for one refined bucket.
 CELLS, MOST_CELLS = 4, 1 << 16
+#: Rounds that follow each other in one plan: then the rows are stored with their buckets.
+CHAIN = 4
 
 _ROW, _BUCKET, _DIGIT = "__strata_row", "__strata_bucket", "__strata_digit"
 
@@ -76,23 +79,26 @@ class _Digits:
             self.count = 1
             self.exact = isinstance(self.kind, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.DateType))
 
-    def value(self, depth: Column) -> Column:
+    def value(self, depth: int) -> Column:
         c = F.col(f"`{self.name}`")
         if isinstance(self.kind, (T.StringType, T.BinaryType)):
-            chunk = F.rpad(F.hex(F.substr(c.cast("binary"), (depth * 6 + 1).cast("int"), F.lit(6))), 12, "0")
             # Texts that differ in trailing zero bytes alone differ in length.
-            v = F.when(depth < self.count - 1, F.conv(chunk, 16, 10).cast("double")).otherwise(F.octet_length(c).cast("double"))
+            if depth == self.count - 1:
+                v = F.octet_length(c).cast("double")
+            else:
+                chunk = F.rpad(F.hex(F.substr(c.cast("binary"), F.lit(depth * 6 + 1), F.lit(6))), 12, "0")
+                v = F.conv(chunk, 16, 10).cast("double")
         elif isinstance(self.kind, (T.FloatType, T.DoubleType)):
             # The magnitude first, so that the range of a bucket never overflows.
             c = c.cast("double")
             size = F.signum(c) * F.least(F.log2(1 + F.abs(c)), F.lit(2000.0))
-            v = F.when(F.isnan(c), c).when(depth == 0, size).otherwise(F.when(F.abs(c) < float("inf"), c).otherwise(F.lit(0.0)))
+            v = F.when(F.isnan(c), c).otherwise(size if depth == 0 else F.when(F.abs(c) < float("inf"), c).otherwise(F.lit(0.0)))
         elif isinstance(self.kind, (T.LongType, T.TimestampType)):
             c = F.unix_micros(c) if isinstance(self.kind, T.TimestampType) else c
-            v = F.when(depth == 0, F.shiftright(c, 32)).otherwise(c.bitwiseAND(F.lit(0xFFFFFFFF))).cast("double")
+            v = (F.shiftright(c, 32) if depth == 0 else c.bitwiseAND(F.lit(0xFFFFFFFF))).cast("double")
         elif isinstance(self.kind, T.TimestampNTZType):
             clock = (F.hour(c) * 3600 + F.minute(c) * 60).cast("double") * 1e6 + F.date_format(c, "s").cast("double") * 1e6 + F.date_format(c, "SSSSSS").cast("double")
-            v = F.when(depth == 0, F.unix_date(F.to_date(c)).cast("double")).otherwise(clock)
+            v = F.unix_date(F.to_date(c)).cast("double") if depth == 0 else clock
         elif isinstance(self.kind, T.DateType):
             v = F.unix_date(c).cast("double")
         elif isinstance(self.kind, T.BooleanType):
@@ -101,7 +107,9 @@ class _Digits:
             v = c.cast("double")
         else:
             v = F.when(c.isNotNull(), F.lit(0.0))
-        return F.when(F.isnan(v), v).otherwise(-v) if self.down else v
+        if not self.down:
+            return v
+        return F.when(F.isnan(v), v).otherwise(-v) if isinstance(self.kind, (T.FloatType, T.DoubleType)) else -v
 
 
 class _Sequence:
@@ -124,12 +132,12 @@ class _Sequence:
             return self.start[k + 1]
         return None
 
-    def value(self, digit: Column, digits: set[int]) -> Column:
-        """The digit of a row that the column ``digit`` names, one of ``digits``: only their columns are looked at."""
-        out = F.lit(None).cast("double")
-        for k in sorted({self.column(d) for d in digits if d < self.start[-1]}):
-            out = F.when((digit >= self.start[k]) & (digit < self.start[k + 1]), self.columns[k].value(digit - self.start[k])).otherwise(out)
-        return out
+    def value(self, digit: int) -> Column:
+        """A row's digit, null behind the last one."""
+        if digit >= self.start[-1]:
+            return F.lit(None).cast("double")
+        k = self.column(digit)
+        return self.columns[k].value(digit - self.start[k])
 
     def down(self, digit: int) -> bool:
         return self.columns[self.column(digit)].down
@@ -149,15 +157,26 @@ class _Node:
             yield from self.children[cell].leaves()
 
 
-def _ranges(found: DataFrame, sequence: _Sequence, digits: set[int]) -> DataFrame:
-    """For each new bucket, rows and the ranges of its digit and the next ones."""
-    ahead = [sequence.value(F.col(_DIGIT) + k, {d + k for d in digits}).alias(f"__strata_v{k}") for k in range(AHEAD + 1)]
-    found = found.select("__strata_new", _DIGIT, *ahead)
+def _ranges(found: DataFrame, sequence: _Sequence, digits: list[int]) -> DataFrame:
+    """For each new bucket, rows and the ranges of its digit (``__strata_v``) and the next ones; ``_DIGIT`` is its place in ``digits``."""
+    wanted = sorted({d + k for d in digits for k in range(1, AHEAD + 1)})
+    # Where the next digits of each digit begin; each is one element of an array, computed once a row.
+    first = F.get(F.array(*[F.lit(wanted.index(d + 1)) for d in digits]), F.col(_DIGIT))
+    found = found.select("__strata_new", "__strata_v", first.alias("__strata_first"), F.array(*[sequence.value(d) for d in wanted]).alias("__strata_next"))
+    known = [F.col("__strata_v"), *[F.get("__strata_next", F.col("__strata_first") + k) for k in range(AHEAD)]]
+    ahead = [F.nanvl(v, F.lit(None).cast("double")).alias(f"__strata_v{k}") for k, v in enumerate(known)]
     out = [F.count(F.lit(1)).alias("rows")]
     for k in range(AHEAD + 1):
-        v = F.nanvl(F.col(f"__strata_v{k}"), F.lit(None).cast("double"))
+        v = F.col(f"__strata_v{k}")
         out += [F.min(v).alias(f"low{k}"), F.max(v).alias(f"high{k}"), F.count(v).alias(f"known{k}")]
-    return found.groupBy("__strata_new", _DIGIT).agg(*out)
+    return found.select("__strata_new", *ahead).groupBy("__strata_new").agg(*out)
+
+
+def _told(spark: SparkSession, rows: list[tuple], **columns: str) -> DataFrame:
+    """A broadcast table of a row a bucket, made in the driver (through Arrow: no Python worker takes part)."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+    arrays = [pa.array(values, kinds[kind]) for values, kind in zip(zip(*rows, strict=True), columns.values(), strict=True)]
+    return F.broadcast(spark.createDataFrame(pa.table(arrays, list(columns))))
 
 
 def _settle(node: _Node, row, digit: int, sequence: _Sequence) -> None:
@@ -180,27 +199,33 @@ def _settle(node: _Node, row, digit: int, sequence: _Sequence) -> None:
 
 def _buckets(rows: DataFrame, sequence: _Sequence, root: _Node, part_rows: int) -> tuple[DataFrame, list[_Node]]:
     """``rows`` with their bucket's number, and the buckets in order."""
-    spark, number, open_ = rows.sparkSession, 0, [root]
+    spark, number, open_, round_ = rows.sparkSession, 0, [root], 0
     rows = rows.withColumn(_BUCKET, F.lit(0).cast("long"))
     while open_ := [n for n in open_ if n.rows > part_rows and n.digit is not None]:
-        plan = []
+        round_ += 1
+        if round_ % CHAIN == 0:
+            rows = rows.checkpoint()
+        cutting, plan = sorted({n.digit for n in open_}), []
         for n in open_:
             n.cells = 1 if n.low is None else min(MOST_CELLS, max(CELLS, -(-CELLS * n.rows // part_rows)))
-            base, number = number + 1, number + n.cells + 3
-            plan.append((n.number, n.digit, n.low or 0.0, ((n.high or 0.0) - (n.low or 0.0)) / n.cells, n.cells, base, sequence.down(n.digit)))
-            n.base = base
-        cut = F.broadcast(spark.createDataFrame(plan, f"{_BUCKET} long, __strata_digit_cut int, __strata_low double, __strata_width double, __strata_cells int, __strata_base long, __strata_down boolean"))
-        digits = {n.digit for n in open_}
+            n.base, number = number + 1, number + n.cells + 3
+            plan.append((n.number, cutting.index(n.digit), n.low or 0.0, ((n.high or 0.0) - (n.low or 0.0)) / n.cells, n.cells, n.base, sequence.down(n.digit)))
+        cut = _told(spark, plan, **{_BUCKET: "long", _DIGIT: "int", "__strata_low": "double", "__strata_width": "double",
+                                    "__strata_cells": "int", "__strata_base": "long", "__strata_down": "boolean"})
+        own = rows.columns
+        value = F.lit(None).cast("double")
+        for k, d in enumerate(cutting):
+            value = F.when(F.col(_DIGIT) == k, sequence.value(d)).otherwise(value)
+        dealt = rows.join(cut, _BUCKET, "left").withColumn("__strata_v", value)
         v = F.col("__strata_v")
         inside = F.when(F.col("__strata_width") > 0, F.least(F.col("__strata_cells") - 1, F.floor((v - F.col("__strata_low")) / F.col("__strata_width")))).otherwise(0)
         # Cells in order: NaN of a descending column, values, NaN, nulls.
         cell = F.when(v.isNull(), F.col("__strata_cells") + 2).when(F.isnan(v), F.when(F.col("__strata_down"), 0).otherwise(F.col("__strata_cells") + 1)) \
                 .otherwise(1 + F.greatest(F.lit(0).cast("long"), inside))
-        rows = rows.join(cut, _BUCKET, "left").withColumn("__strata_v", sequence.value(F.col("__strata_digit_cut"), digits))
         new = F.when(F.col("__strata_base").isNotNull(), F.col("__strata_base") + cell).otherwise(F.col(_BUCKET)).cast("long")
-        found = rows.where(F.col("__strata_base").isNotNull()).select("*", new.alias("__strata_new"), F.col("__strata_digit_cut").alias(_DIGIT))
-        counted = _ranges(found, sequence, digits).collect()
-        rows = rows.withColumn(_BUCKET, new).drop("__strata_v", "__strata_digit_cut", "__strata_low", "__strata_width", "__strata_cells", "__strata_base", "__strata_down")
+        dealt = dealt.withColumn("__strata_new", new)
+        counted = _ranges(dealt.where(F.col("__strata_base").isNotNull()), sequence, cutting).collect()
+        rows = dealt.select(*[F.col(f"`{c}`") for c in own if c != _BUCKET], F.col("__strata_new").alias(_BUCKET))
         by_base = sorted(open_, key=lambda n: n.base)
         bases = [n.base for n in by_base]
         open_ = []
@@ -236,7 +261,12 @@ def dense_surrogate(df: DataFrame, order_by: list, id_col: str, first: bool = Tr
     keys = [*order_by, *[c for c in orderable if c not in named and c != id_col], _ROW]
     rows = df.withColumn(_ROW, F.monotonically_increasing_id()).checkpoint()
     texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    shape = rows.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.octet_length(f"`{c}`")).alias(f"len{k}") for k, c in enumerate(texts)]).first()
+    # The first digit's range comes with the counts; that of a text is its first bytes, however long it is.
+    lead = keys[0]
+    digit = _Digits(rows.schema[lead.name if isinstance(lead, descending) else lead], 1, isinstance(lead, descending)).value(0)
+    shape = rows.withColumn("__strata_v", F.nanvl(digit, F.lit(None).cast("double"))).agg(
+        F.count(F.lit(1)).alias("n"), *[F.max(F.octet_length(f"`{c}`")).alias(f"len{k}") for k, c in enumerate(texts)],
+        F.min("__strata_v").alias("low"), F.max("__strata_v").alias("high")).first()
     part_rows = part_rows or max(PART_ROWS, shape["n"] // MAX_PARTS)
     longest = {c: shape[f"len{k}"] for k, c in enumerate(texts)}
     digits = [_Digits(rows.schema[k.name if isinstance(k, descending) else k], longest.get(k.name if isinstance(k, descending) else k),
@@ -245,7 +275,7 @@ def dense_surrogate(df: DataFrame, order_by: list, id_col: str, first: bool = Tr
     if shape["n"] <= part_rows:
         numbered = rows.withColumn(id_col, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast(id_type))
     else:
-        root = _Node(shape["n"], 0, None, None)
+        root = _Node(shape["n"], 0, shape["low"], shape["high"])
         rows, leaves = _buckets(rows, _Sequence(digits), root, part_rows)
         numbered = _numbered(rows, leaves, order, id_col, id_type, part_rows)
     out = numbered.select(*[F.col(f"`{c}`") for c in own if c != id_col], id_col)
@@ -262,7 +292,7 @@ def _numbered(rows: DataFrame, leaves: list[_Node], order: list[Column], id_col:
         size, total = size + leaf.rows, total + leaf.rows
     spark = rows.sparkSession
     # A row for each bucket.
-    known = F.broadcast(spark.createDataFrame(places, f"{_BUCKET} long, __strata_group long, __strata_start long"))
+    known = _told(spark, places, **{_BUCKET: "long", "__strata_group": "long", "__strata_start": "long"})
     inside = F.row_number().over(Window.partitionBy("__strata_group").orderBy(*order))
     return rows.join(known, _BUCKET).withColumn(id_col, (F.col("__strata_start") + inside).cast(id_type))
 

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from strata.plans import conformance as C
 
 
@@ -96,3 +98,44 @@ def test_key_checks_scan_each_child_once(spark, sf01):
     assert "bitmap_construct_agg" in p and p.count("BroadcastHashJoin") >= 2
     fk = C.fk_check(spark, sf01)._jdf.queryExecution().executedPlan().toString()
     assert all(fk.count(f"{t}.parquet") <= n for t, n in {"lineitem": 1, "orders": 2, "events": 1}.items())
+
+
+def test_dense_key_rounds_take_no_python_and_one_pass_each(spark):
+    """The bucket tables come through Arrow; the leading digit's range comes with the row count."""
+    from strata.operators import dense_surrogate, surrogate
+    passes = []
+    ranges = surrogate._ranges
+    surrogate._ranges = lambda *a: passes.append(1) or ranges(*a)
+    try:
+        df = dense_surrogate(spark.range(0, 4000).select((F.col("id") % 7).alias("g"), "id"), ["g", "id"], "k", part_rows=100)
+    finally:
+        surrogate._ranges = ranges
+    assert len(passes) == 3
+    assert "pythonrdd" not in df._jdf.queryExecution().toRdd().toDebugString().lower()
+    assert [(r.g, r.id) for r in df.orderBy("k").collect()] == sorted((k % 7, k) for k in range(4000))
+
+
+def test_wide_jobs_strip_each_text_once(spark):
+    """A text's strip is one expression of the plan, not one at every use."""
+    from strata.plans import silver
+    cols = ["Year", "Date", "Round", "home_team", "away_team", "home_score", "away_score", "home_xg", "away_xg", "home_penalty", "away_penalty",
+            "Attendance", "Venue", "Host", "Referee", "home_goal"]
+    raw = spark.range(3).select(*[F.concat(F.lit(" "), F.col("id").cast("string")).alias(c) for c in cols])
+    mark = "trim(Date#"
+    for df in (silver.transform_matches(raw, {}), silver.transform_goals(raw, {})):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count(mark) <= 2
+
+
+def test_layer_facts_parse_silver_once(spark, sf01):
+    from strata.plans import layer_queries as L
+    p = plan(L._dims(spark, sf01)["goals"])
+    assert "FileScan parquet" in p and "posexplode" not in p.lower() and "lineitem" not in p and "orders" not in p
+
+
+def test_sessions_without_the_jvm_flag_get_small_methods(spark):
+    from strata.session import compile_small
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    was = spark.conf.get(limit)
+    other = spark.newSession()
+    compile_small(other)
+    assert other.conf.get(limit) == was  # these JVMs compile huge methods
