@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import gold, silver
 from .conformance import query, table
 
@@ -278,8 +279,16 @@ def _players(spark, sf_dir) -> DataFrame:
     return silver.transform_flat(raw, {})
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The silver table as the gold builders read it: written once, so that no builder parses it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _dims(spark, sf_dir) -> dict[str, DataFrame]:
     m, g = _silver(spark, sf_dir)
+    m, g = _written(m, "silver-matches"), _written(g, "silver-goals")
     ed, rk = layer_editions(spark, sf_dir), layer_ranking(spark, sf_dir)
     return {"matches": m, "goals": g, "dim_edition": lambda: gold.build_dim_edition(ed), "dim_equipe": lambda: gold.build_dim_equipe(m, g, ed, rk),
             "dim_stade": lambda: gold.build_dim_stade(m), "dim_joueur": lambda: gold.build_dim_joueur(_players(spark, sf_dir), g)}
