@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _VARIANT, _ITEM = "__variant", "__item"
+_JSON, _NAMES, _LEFT = "__json", "__names", "__left"
 
 
 def read_documents(spark: SparkSession, paths: str | list[str], whole_files: bool = False) -> DataFrame:
@@ -43,13 +44,14 @@ def flatten(documents: DataFrame, items: str, fields: dict[str, str], header: di
     parsed = documents.select("*", F.try_parse_json(text).alias(_VARIANT))
     head = [_typed(_VARIANT, path, kind).alias(name) for name, (path, kind) in (header or {}).items()]
     rows = parsed.select(*head, F.posexplode(_typed(_VARIANT, items, "array<variant>")).alias("position", _ITEM))
-    item = F.to_json(_ITEM)
-    parts = F.coalesce(F.from_json(item, "map<string,string>"), F.create_map().cast("map<string,string>"))
-    names = F.coalesce(F.json_object_keys(item), F.array().cast("array<string>"))
+    # A projection a step: an expression is computed again at each use, inside a lambda for each element.
     fits = F.array(*[F.when(_typed(_ITEM, f"$['{name}']", kind).isNotNull() | F.is_variant_null(_typed(_ITEM, f"$['{name}']", "variant")), F.lit(name))
                      for name, kind in fields.items()])
-    left = F.array_except(names, F.array_compact(fits))
-    rescued = F.when(F.json_object_keys(item).isNull(), F.when(item != "null", F.create_map(F.lit("$"), item))) \
-               .when(F.size(left) > 0, F.map_filter(parts, lambda k, v: F.array_contains(left, k)))
+    rows = rows.withColumn(_JSON, F.to_json(_ITEM)).withColumn(_NAMES, F.json_object_keys(_JSON))
+    names = F.coalesce(F.col(_NAMES), F.array().cast("array<string>"))
+    rows = rows.withColumn(_LEFT, F.array_except(names, F.array_compact(fits)))
+    parts = F.coalesce(F.from_json(_JSON, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    rescued = F.when(F.col(_NAMES).isNull(), F.when(F.col(_JSON) != "null", F.create_map(F.lit("$"), F.col(_JSON)))) \
+               .when(F.size(_LEFT) > 0, F.map_filter(parts, lambda k, v: F.array_contains(F.col(_LEFT), k)))
     return rows.select(*[name for name in (header or {})], "position", *[_typed(_ITEM, f"$['{n}']", kind).alias(n) for n, kind in fields.items()],
                        rescued.alias("rescued"))
