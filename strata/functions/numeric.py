@@ -25,26 +25,30 @@ def _digits_only(t) -> Column:
     return (F.length(t) > 0) & (F.btrim(t, F.lit("0123456789")) == "")
 
 
-def to_double(c) -> Column:
+def to_double(c, stripped: bool = False) -> Column:
     """Text to DOUBLE; unparsable, NaN and empty give null.
 
+    ``stripped`` says that ``c`` is stripped text already: wide jobs strip a
+    column once, in a projection of its own, since each use of an expression
+    computes it again.
+
     Only digits, sign, point and a decimal exponent, or a word for infinity:
     the type suffixes (``12d``) and hexadecimal forms that a cast also takes
     are not numbers here.
     """
-    s = strip_ws(_c(c).cast("string"))
+    s = _c(c) if stripped else strip_ws(_c(c).cast("string"))
     decimal = (F.length(s) > 0) & (F.btrim(s, F.lit(_NUMBER_CHARS)) == "")
     return F.when(decimal | F.lower(s).isin(*_INFINITY), s.try_cast("double"))
 
 
-def to_long(c, strict: bool = False) -> Column:
+def to_long(c, strict: bool = False, stripped: bool = False) -> Column:
     """Text to nullable BIGINT.
 
     Integers parse exactly (no detour through double); ``64.0`` gives 64;
     non-numbers give null.  A fractional value is an error when ``strict``
     (the source semantics) and null otherwise.
     """
-    s = strip_ws(_c(c).cast("string"))
+    s = _c(c) if stripped else strip_ws(_c(c).cast("string"))
     exact = F.when(_digits_only(F.ltrim(s, F.lit("+-"))), s.try_cast("bigint"))
     # "64.0", "-3.00", "17.": integer part plus a fraction of zeros, by text.
     head = F.substring_index(s, ".", 1)
@@ -53,11 +57,11 @@ def to_long(c, strict: bool = False) -> Column:
     dotted = F.when(one_dot & _digits_only(F.ltrim(head, F.lit("+-")))
                     & (F.btrim(tail, F.lit("0")) == ""), head.try_cast("bigint"))
     # Anything else that may be a number ("1e3", "12.5") goes through double.
-    d = to_double(s)
+    d = to_double(s, stripped)
     whole = F.when(d == F.floor(d), d.try_cast("bigint"))
     value = F.coalesce(exact, dotted, whole)
     if strict:
-        bad = value.isNull() & to_double(s).isNotNull()
+        bad = value.isNull() & to_double(s, stripped).isNotNull()
         return F.when(bad, F.raise_error(F.concat(F.lit("fractional value for integer column: "), s))
                       .cast("bigint")).otherwise(value)
     return value

@@ -26,13 +26,15 @@ PENALTY_MARKER = "(P)"
 _ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
-def to_date_coerce(c, formats=("yyyy-MM-dd",)) -> Column:
+def to_date_coerce(c, formats=("yyyy-MM-dd",), stripped: bool = False) -> Column:
     """Text to DATE trying each format in turn; unparsable gives null.
 
+    ``stripped`` says that ``c`` is stripped text already.
+
     The default takes every ISO form: one or two digits for month and day, and
     a time of day behind it, which is dropped.
     """
-    s = strip_ws(_c(c).cast("string"))
+    s = _c(c) if stripped else strip_ws(_c(c).cast("string"))
     if tuple(formats) != ("yyyy-MM-dd",):
         return F.coalesce(*[F.try_to_date(s, f) for f in formats])
     # The common form is told by its characters; only other texts meet the regex.
@@ -88,8 +90,13 @@ def parse_minute(c) -> Column:
     Returns a struct ``<minute, stoppage_time, minute_absolute>`` of bigints.
     The token must be digits, optionally ``+`` digits, once stripped.
     """
-    tok = strip_ws(_c(c))
-    parts = F.split(tok, r"\+")
+    parts = F.split(strip_ws(_c(c)), r"\+")
+    return minute_of_parts(parts)
+
+
+def minute_of_parts(parts) -> Column:
+    """:func:`parse_minute` of a stripped token that is already split at ``+``."""
+    parts = _c(parts)
     n = F.size(parts)
     head, tail = F.get(parts, 0), F.get(parts, 1)
     ok = F.coalesce(_all_digits(head) & ((n == 1) | ((n == 2) & _all_digits(tail))), F.lit(False))

@@ -19,6 +19,9 @@ _OTHER_WS = PY_WHITESPACE.replace(" ", "")
 # The same set as a regex class, for the few patterns that need it.
 _WS = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in PY_WHITESPACE) + "]"
 
+# A white space that is no space, or two spaces.
+_ODD_WS = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in _OTHER_WS) + "]|  "
+
 # Words substituted for symbols in snake_case names, in order.
 SNAKE_SYMBOL_WORDS = (("%", "_pct"), ("+", "_plus_"), ("/", "_per_"))
 
@@ -41,11 +44,11 @@ def strip_ws(c) -> Column:
 def collapse_ws(c) -> Column:
     """Collapse every whitespace run to one space, then strip.
 
-    Other whitespace characters become spaces with ``translate``; the regex
-    runs only on values that still hold a double space.
+    Other whitespace characters become spaces with ``translate`` and runs one
+    space, but only in values that hold any: one regex tells.
     """
     t = F.translate(_c(c), _OTHER_WS, " " * len(_OTHER_WS))
-    t = F.when(F.instr(t, "  ") > 0, F.regexp_replace(t, " {2,}", " ")).otherwise(t)
+    t = F.when(_c(c).rlike(_ODD_WS), F.regexp_replace(t, " {2,}", " ")).otherwise(_c(c))
     return F.btrim(t, F.lit(" "))
 
 

@@ -55,24 +55,28 @@ def _labels(mapping):
 
 def transform_matches(df: DataFrame, mapping=None) -> DataFrame:
     """One typed row per match, keyed by the md5 content key."""
-    venue_name, venue_city = S.rsplit_last(S.strip_ws("Venue"), ",")
+    # Each text is stripped or collapsed once: a column of its own projection is not computed again at each use.
+    numbers = ["Year", "Date", "home_score", "away_score", "home_xg", "away_xg", "home_penalty", "away_penalty", "Attendance", "Venue", "Round", "Referee"]
+    df = df.select(*[S.strip_ws(F.col(c).cast("string")).alias(c) for c in numbers], *[S.collapse_ws(c).alias(c) for c in ("home_team", "away_team", "Host")])
+    venue_name, venue_city = S.rsplit_last("Venue", ",")
+    labels = _labels(mapping)
     out = df.select(
-        S.to_long("Year").alias("year"),
-        S.to_date_coerce("Date").alias("match_date"),
-        S.strip_ws("Round").alias("round"),
-        team("home_team", mapping).alias("home_team"),
-        team("away_team", mapping).alias("away_team"),
-        S.to_long("home_score").alias("home_score"),
-        S.to_long("away_score").alias("away_score"),
-        S.to_double("home_xg").alias("home_xg"),
-        S.to_double("away_xg").alias("away_xg"),
-        S.to_long("home_penalty").alias("penalty_home"),
-        S.to_long("away_penalty").alias("penalty_away"),
-        S.to_long("Attendance").alias("attendance"),
+        S.to_long("Year", stripped=True).alias("year"),
+        S.to_date_coerce("Date", stripped=True).alias("match_date"),
+        F.col("Round").alias("round"),
+        S.map_label("home_team", labels).alias("home_team"),
+        S.map_label("away_team", labels).alias("away_team"),
+        S.to_long("home_score", stripped=True).alias("home_score"),
+        S.to_long("away_score", stripped=True).alias("away_score"),
+        S.to_double("home_xg", stripped=True).alias("home_xg"),
+        S.to_double("away_xg", stripped=True).alias("away_xg"),
+        S.to_long("home_penalty", stripped=True).alias("penalty_home"),
+        S.to_long("away_penalty", stripped=True).alias("penalty_away"),
+        S.to_long("Attendance", stripped=True).alias("attendance"),
         venue_name.alias("venue_name"),
         venue_city.alias("venue_city"),
-        team("Host", mapping).alias("host"),
-        S.strip_ws("Referee").alias("referee"),
+        S.map_label("Host", labels).alias("host"),
+        F.col("Referee").alias("referee"),
     )
     out = out.withColumn("went_to_penalties", S.both_present("penalty_home", "penalty_away"))
     key = S.row_key("match_date", "home_team", "away_team").alias("match_key")
@@ -97,10 +101,13 @@ def explode_goals(df: DataFrame, home: str, away: str, match_date: str, year: st
     chunks = explode_with_position(long, S.goal_chunks("cell"),
                                    [*keep, "source_ordinal", "side", "goal_type"], "position", "raw_chunk")
     chunks = chunks.withColumn("chunk", S.strip_ws("raw_chunk"))
+    # Flat columns, a projection a step: the fields of a struct would be computed again at each use.
+    tags = [*keep, "source_ordinal", "side", "goal_type", "position"]
+    g = S.parse_goal_chunk("chunk")
     goals = chunks.where(F.col("chunk") != "").select(
-        *keep, "source_ordinal", "side", "goal_type", "position",
-        S.parse_goal_chunk("chunk").alias("g"))
-    minute = S.parse_minute("g.minute_token")
+        *tags, g["scorer"].alias("scorer"), F.split(S.strip_ws(g["minute_token"]), r"\+").alias("minute_parts"))
+    minute = S.minute_of_parts("minute_parts")
+    goals = goals.select(*tags, "scorer", *[minute[c].alias(c) for c in ("minute", "stoppage_time", "minute_absolute")])
     is_home = F.col("side") == "home"
     return goals.select(
         "match_key",
@@ -109,14 +116,12 @@ def explode_goals(df: DataFrame, home: str, away: str, match_date: str, year: st
         F.when(is_home, F.col(home)).otherwise(F.col(away)).alias("team"),
         F.when(is_home, F.col(away)).otherwise(F.col(home)).alias("opponent"),
         "side",
-        S.empty_to_null("g.scorer").alias("scorer"),
+        S.empty_to_null("scorer").alias("scorer"),
         "goal_type",
         (F.col("goal_type") == "penalty").alias("is_penalty"),
         (F.col("goal_type") == "own_goal").alias("is_own_goal"),
-        minute["minute"].alias("minute"),
-        minute["stoppage_time"].alias("stoppage_time"),
-        minute["minute_absolute"].alias("minute_absolute"),
-        S.period_of_minute(minute["minute"]).alias("period"),
+        "minute", "stoppage_time", "minute_absolute",
+        S.period_of_minute("minute").alias("period"),
         "source_ordinal", "position",
     )
 
@@ -134,13 +139,14 @@ def goal_order(match_key: str = "match_key", minute_absolute: str = "minute_abso
 def transform_goals(df: DataFrame, mapping=None, keep_order_columns: bool = False) -> DataFrame:
     """One row per goal from the packed cells of the raw match rows."""
     m = _labels(mapping)
-    norm = df.select("*", S.collapse_ws("home_team").alias("__hn"), S.collapse_ws("away_team").alias("__an"))
+    norm = df.select("*", S.collapse_ws("home_team").alias("__hn"), S.collapse_ws("away_team").alias("__an"),
+                     *[S.strip_ws(F.col(c).cast("string")).alias(f"__s{c}") for c in ("Date", "Year")])
     typed = norm.select(
         "*",
-        S.to_date_coerce("Date").alias("__date"),
+        S.to_date_coerce("__sDate", stripped=True).alias("__date"),
         S.map_label("__hn", m).alias("__home"),
         S.map_label("__an", m).alias("__away"),
-        S.to_long("Year").alias("__year"),
+        S.to_long("__sYear", stripped=True).alias("__year"),
     )
     goals = explode_goals(typed, "__home", "__away", "__date", "__year")
     return goals if keep_order_columns else goals.select(*GOAL_COLUMNS)
