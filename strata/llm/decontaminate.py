@@ -35,6 +35,8 @@ MAX_BROADCAST_BYTES = 48 << 20
 
 # A word, once A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same words before A-Z are lower-cased.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def az_lower(c: Column) -> Column:
@@ -50,6 +52,11 @@ def words_of(text: str) -> Column:
     return F.regexp_extract_all(az_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def raw_words(text: str) -> Column:
+    """The words as they are written, for counts: lower-cased one by one, only those beyond ASCII take the slow ``translate``."""
+    return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(RAW_WORD), F.lit(0))
+
+
 def small(df: DataFrame, size: Column) -> bool:
     """Whether a materialised side stays below the broadcast bound; reads no more rows than that."""
     n, b = df.limit(MAX_BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
@@ -67,7 +74,7 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) ->
 def word_counts(docs: DataFrame, text: str, vocabulary: DataFrame) -> DataFrame:
     """How often each word of ``vocabulary`` occurs in all of ``docs``: word, n."""
     side = F.broadcast(vocabulary) if small(vocabulary, F.octet_length("word")) else vocabulary
-    said = docs.select(F.explode(words_of(text)).alias("word"))
+    said = docs.select(F.explode(raw_words(text)).alias("raw")).select(az_lower(F.col("raw")).alias("word"))
     return said.join(side, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -121,7 +128,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = benchmark_hits(docs, benchmark, id_col, text, item_id, item_text, window)
     hits = F.broadcast(hits) if small(hits, F.octet_length(F.array_join("items", ",")) + 50) else hits
     # The item list bounds a hit row; documents without hits never leave their task.
-    said = docs.withColumns({"n_words": F.size(words_of(text)).cast("long"), "__key": F.xxhash64(id_col, text)})
+    said = docs.withColumns({"n_words": F.size(raw_words(text)).cast("long"), "__key": F.xxhash64(id_col, text)})
     out = said.join(hits, (F.col("__key") == F.col("key")) & F.col(id_col).eqNullSafe(F.col("id")), "left")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     return out.select(*docs.columns, "n_words", n_hit.alias("n_hit"),

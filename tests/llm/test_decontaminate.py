@@ -70,3 +70,17 @@ def test_plan_is_native(spark):
     plan = D.matches(frame(spark, rows), "doc_id", "text", spark.createDataFrame([(1, ["a"], 1, "a", 0)], "wid long, words array<string>, len int, word string, at int"))
     plan = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_words_counted_as_written(spark):
+    """Counting words needs no lower-cased texts; the words of the corpus' counts are lower-cased."""
+    text = "THE École the Éte THE-x À"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    said = docs.select("doc_id", D.raw_words("text").alias("raw"), D.words_of("text").alias("w")).collect()
+    assert {r.doc_id: r.raw for r in said} == {1: ["THE", "École", "the", "Éte", "THE", "x", "À"], 2: [], 3: []}
+    assert all([w.translate(AZ) for w in r.raw] == r.w for r in said)
+    counted = D.word_counts(docs, "text", spark.createDataFrame([("the",), ("École",), ("no",)], "word string"))
+    assert {r.word: r.n for r in counted.collect()} == {"the": 3, "École": 1}
+    hits = spark.createDataFrame([("q", "nothing of this")], "item_id string, text string")
+    plan = D.decontaminate(docs, hits)._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan
