@@ -84,3 +84,13 @@ def test_words_counted_as_written(spark):
     hits = spark.createDataFrame([("q", "nothing of this")], "item_id string, text string")
     plan = D.decontaminate(docs, hits)._jdf.queryExecution().optimizedPlan().toString()
     assert "translate" not in plan
+
+
+def test_word_classes_are_listed_one_by_one(spark):
+    """Ranges make Java walk a chain of predicates for each character; listed characters are looked up in a table."""
+    for regex, old in ((D.WORD, WORD), (D.RAW_WORD, re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))):
+        assert "-" not in regex
+        text = "".join(f"{chr(k)}ab{chr(k)}" for k in range(0x180)) + "中文 x́y 😀z"
+        assert re.findall(regex, text) == old.findall(text)
+    said = spark.createDataFrame([(text,)], "text string").select(D.raw_words("text").alias("raw"), D.words_of("text").alias("w")).first()
+    assert said.raw == old.findall(text) and said.w == words(text)
